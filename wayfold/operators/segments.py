@@ -41,7 +41,7 @@ def with_segments(
     if "distance_from_previous" not in df.columns:
         df = gap_distances(df, block_rows)
     if isinstance(jump_thresholds, DataFrame):
-        df = attach(df, jump_thresholds.select("traj_id", "jump_threshold"), block_rows)
+        df = attach(df, jump_thresholds.select("traj_id", "jump_threshold"), block_rows, "left")
     else:
         df = df.withColumn("jump_threshold", F.lit(float(jump_thresholds)))
     breaks = F.coalesce(F.col("distance_from_previous") > F.col("jump_threshold"), F.lit(False))
