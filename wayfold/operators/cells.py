@@ -26,7 +26,8 @@ CELL_ROWS = 200_000
 _SMALLEST_REACH_M = 1e-4
 
 _AXES = ("x", "y", "z")
-_CELL_FIELDS = ("hx", "hy", "hz", "bin", "cell_lat", "cell_lon")
+_BOX = [f"{end}_{axis}" for axis in (*_AXES, "t") for end in ("min", "max")]
+_LIMITS = ("eps_space", "eps_time", "min_pts", "reach", "half", "span")
 
 
 def with_search_limits(
@@ -85,148 +86,163 @@ def in_cells(df: DataFrame) -> DataFrame:
 
 
 def cell_table(points: DataFrame) -> DataFrame:
-    """One row per cell: row count, first row, bounding box, and extreme points."""
-    witness = F.struct("latitude", "longitude", "t")
+    """One row per cell: rows, bounding box, limits.
+
+    `no`, the first `ord` in the cell, names it within its trajectory.
+    """
     boxes = [f(a).alias(f"{n}_{a}") for a in (*_AXES, "t") for n, f in (("min", F.min), ("max", F.max))]
-    corners = [f(witness, a) for a in (*_AXES, "t") for f in (F.min_by, F.max_by)]
-    limits = [F.first(c).alias(c) for c in ("eps_space", "eps_time", "min_pts", "reach", "half", "span")]
     return (
         points.groupBy("traj_id", "cell")
-        .agg(F.count(F.lit(1)).alias("rows"), F.min("ord").alias("first_ord"), *boxes, *limits, F.array(*corners).alias("corners"))
+        .agg(
+            F.min("ord").alias("no"),
+            F.count(F.lit(1)).alias("rows"),
+            *boxes,
+            *(F.first(c).alias(c) for c in _LIMITS),
+        )
         .withColumn("dense", F.col("rows") >= F.col("min_pts"))
     )
 
 
-def near(a: str, b: str, limits: str) -> Column:
-    """The exact test: arc and whole-second gap, both inclusive."""
-    return near_points(
-        *(F.col(f"{p}.{c}") for p in (a, b) for c in ("latitude", "longitude", "t")),
-        F.col(f"{limits}.eps_space"),
-        F.col(f"{limits}.eps_time"),
-    )
+def extreme_points(points: DataFrame) -> DataFrame:
+    """Per cell (traj_id, no): `corners`, its outermost point along each axis and in time."""
+    point = F.struct("latitude", "longitude", "t")
+    outermost = [f(point, a) for a in (*_AXES, "t") for f in (F.min_by, F.max_by)]
+    return points.groupBy("traj_id", "no").agg(F.array(*outermost).alias("corners"))
 
 
 def near_points(lat1, lon1, t1, lat2, lon2, t2, eps_space, eps_time) -> Column:
+    """The exact test: arc and whole-second gap, both inclusive."""
     return (haversine(lat1, lon1, lat2, lon2) <= eps_space) & (whole_seconds(F.abs(t1 - t2)) <= eps_time)
 
 
-def adjacent_cells(of: DataFrame, cells: DataFrame) -> DataFrame:
-    """Pairs (cell `a` of the first, cell `b` of the second) that may hold neighbours.
+class CellIndex:
+    """Points and their cells, saved, with crowded cells cut into parts."""
 
-    `all_near` says that every pair of their points is. The cell itself is left
-    out. A cell looks at most at 27 coarse places and 3 time bins, each of which
-    holds at most 8 cells, however many points these have.
-    """
-    reach = F.col("half") * 2
-
-    def coarse(position: Column) -> Column:
-        return F.shiftright(F.floor(position / F.col("half")), 1)
-
-    probe = of.select("traj_id", F.struct(*of.columns).alias("a"), *of.columns[1:])
-    for axis in _AXES:
-        places = F.sequence(coarse(F.col(f"min_{axis}") - reach), coarse(F.col(f"max_{axis}") + reach))
-        probe = probe.withColumn(f"g{axis}", F.explode(places))
-    # Places that do not touch the sphere hold no points.
-    centre = sum((F.col(f"g{a}") + 0.5) * reach * ((F.col(f"g{a}") + 0.5) * reach) for a in _AXES)
-    on_sphere = F.abs(F.sqrt(centre) - EARTH_RADIUS_M) <= reach * 0.9 + 1.0
-    probe = probe.where(on_sphere).withColumn(
-        "bin", F.explode(F.sequence(F.col("cell.bin") - 1, F.col("cell.bin") + 1))
-    )
-    keys = ["traj_id", "gx", "gy", "gz", "bin"]
-    found = cells.select(
-        "traj_id",
-        *(F.shiftright(F.col(f"cell.h{a}"), 1).alias(f"g{a}") for a in _AXES),
-        F.col("cell.bin").alias("bin"),
-        F.struct(*cells.columns).alias("b"),
-    )
-    pairs = probe.select(*keys, "a").join(found, keys).where(F.col("a.cell") != F.col("b.cell"))
-
-    def apart(axis: str) -> Column:
-        return F.greatest(
-            F.lit(0), F.col(f"b.min_{axis}") - F.col(f"a.max_{axis}"), F.col(f"a.min_{axis}") - F.col(f"b.max_{axis}")
+    def __init__(self, df: DataFrame, cell_rows: int = CELL_ROWS) -> None:
+        located = in_cells(df)
+        self.cells = saved(cell_table(located))
+        # At most one row per `cell_rows` points, so broadcasting it is safe.
+        crowded = self.cells.where(F.col("rows") > cell_rows).select(
+            "traj_id", "cell", "no", F.ceil(F.col("rows") / F.lit(cell_rows)).cast("int").alias("_parts")
+        )
+        self._crowded = F.broadcast(crowded) if crowded.take(1) else None
+        numbered = self.cells.select("traj_id", "cell", "no", "dense")
+        self.points = saved(
+            self._spread_points(located, "cell")
+            .join(self._spread_cells(numbered, "cell"), ["traj_id", "cell", "part"])
+            .drop("part", "cell")
         )
 
-    def across(axis: str) -> Column:
-        return F.greatest(F.col(f"b.max_{axis}") - F.col(f"a.min_{axis}"), F.col(f"a.max_{axis}") - F.col(f"b.min_{axis}"))
-
-    farthest = F.col("a.half") * 2
-    surely = F.col("a.reach") * (1 - 1e-9) - SLACK_M
-    may_touch = (sum(apart(a) * apart(a) for a in _AXES) <= farthest * farthest) & (apart("t") < F.col("a.span"))
-    # `across` is about twelve thousand kilometres at most, its squares stay exact enough.
-    all_near = (
-        (surely > 0)
-        & (sum(across(a) * across(a) for a in _AXES) <= surely * surely)
-        & (across("t") < F.col("a.span"))
-    )
-    return pairs.where(may_touch).withColumn("all_near", all_near).select("traj_id", "a", "b", "all_near")
-
-
-def split_counts(cells: DataFrame, cell_rows: int) -> DataFrame:
-    """Cells that need more than one task -> number of parts.
-
-    There is at most one such cell per `cell_rows` points; an empty result makes
-    `split_points` and `split_cells` do nothing.
-    """
-    parts = F.ceil(F.col("rows") / F.lit(cell_rows)).cast("int")
-    return cells.where(F.col("rows") > cell_rows).select("traj_id", "cell", parts.alias("_parts"))
-
-
-def any_split(splits: DataFrame) -> DataFrame | None:
-    return splits if splits.take(1) else None
+    def _spread_points(self, points: DataFrame, cell: str = "no") -> DataFrame:
+        """Adds `part`: which part of its cell a point belongs to."""
+        if self._crowded is None:
+            return points.withColumn("part", F.lit(0))
+        wide = points.join(self._crowded.select("traj_id", cell, "_parts"), ["traj_id", cell], "left")
+        part = F.pmod(F.xxhash64("ord"), F.coalesce("_parts", F.lit(1))).cast("int")
+        return wide.withColumn("part", part).drop("_parts")
+
+    def _spread_cells(self, df: DataFrame, cell: str = "no") -> DataFrame:
+        """Repeats a row that stands for a cell once per part of that cell."""
+        if self._crowded is None:
+            return df.withColumn("part", F.lit(0))
+        wide = df.join(self._crowded.select("traj_id", cell, "_parts"), ["traj_id", cell], "left")
+        return wide.withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop(
+            "_parts"
+        )
 
+    def points_of(self, points: DataFrame, cells: DataFrame) -> DataFrame:
+        """Joins rows per cell (traj_id, no, ...) to points (traj_id, no, ord, ...)."""
+        return self._spread_points(points).join(self._spread_cells(cells), ["traj_id", "no", "part"]).drop("part")
 
-def split_points(points: DataFrame, splits: DataFrame | None, cell: str = "cell", part: str = "part") -> DataFrame:
-    """Adds `part`: which part of its cell a point belongs to."""
-    if splits is None:
-        return points.withColumn(part, F.lit(0))
-    named = splits.withColumnRenamed("cell", cell)
-    split = points.join(F.broadcast(named), ["traj_id", cell], "left")
-    spread = F.pmod(F.xxhash64("ord"), F.coalesce("_parts", F.lit(1))).cast("int")
-    return split.withColumn(part, spread).drop("_parts")
+    def adjacent(self) -> DataFrame:
+        """Each pair of cells `a`, `b` that may hold neighbours, once, never a cell with itself.
 
+        `all_near` says that every pair of their points is near. A cell looks at 27
+        coarse places and 3 time bins at most, each of which holds at most 8 cells,
+        however many points these have.
+        """
+        reach = F.col("half") * 2
 
-def split_cells(df: DataFrame, splits: DataFrame | None, cell: str = "cell", part: str = "part") -> DataFrame:
-    """Repeats a row that stands for a cell once per part of that cell."""
-    if splits is None:
-        return df.withColumn(part, F.lit(0))
-    named = splits.withColumnRenamed("cell", cell)
-    split = df.join(F.broadcast(named), ["traj_id", cell], "left")
-    parts = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)
-    return split.withColumn(part, F.explode(parts)).drop("_parts")
+        def coarse(position: Column) -> Column:
+            return F.shiftright(F.floor(position / F.col("half")), 1)
 
+        here = {f"g{a}": F.shiftright(F.col(f"cell.h{a}"), 1) for a in _AXES}
+        keys = ["bin", *here]
+        slim = self.cells.select(
+            "traj_id",
+            F.struct("no", "cell", "rows", "dense", *_BOX, *(c for c in _LIMITS if c != "min_pts")).alias("a"),
+        )
+        probe = slim.select("traj_id", "a", "a.half", *(F.col(f"a.{c}") for c in _BOX), "a.cell")
+        for axis in _AXES:
+            places = F.sequence(coarse(F.col(f"min_{axis}") - reach), coarse(F.col(f"max_{axis}") + reach))
+            probe = probe.withColumn(f"g{axis}", F.explode(places))
+        # Places that do not touch the sphere hold no points.
+        centre = sum((F.col(g) + 0.5) * reach * ((F.col(g) + 0.5) * reach) for g in here)
+        probe = probe.where(F.abs(F.sqrt(centre) - EARTH_RADIUS_M) <= reach * 0.9 + 1.0)
+        probe = probe.withColumn("bin", F.explode(F.sequence(F.col("cell.bin"), F.col("cell.bin") + 1)))
+        # Looking one way only finds each pair once.
+        own = F.struct(F.col("cell.bin").alias("bin"), *(c.alias(n) for n, c in here.items()))
+        probe = probe.where(F.struct(*keys) >= own)
+        found = self.cells.select(
+            "traj_id", F.col("cell.bin").alias("bin"), *(c.alias(n) for n, c in here.items()),
+            F.struct("no", "cell", "rows", "dense", *_BOX).alias("b"),
+        )
+        pairs = probe.select("traj_id", *keys, own.alias("own"), "a").join(found, ["traj_id", *keys])
+        pairs = pairs.where((F.struct(*keys) > F.col("own")) | (F.col("b.cell") > F.col("a.cell")))
+
+        def apart(axis: str) -> Column:
+            return F.greatest(
+                F.lit(0),
+                F.col(f"b.min_{axis}") - F.col(f"a.max_{axis}"),
+                F.col(f"a.min_{axis}") - F.col(f"b.max_{axis}"),
+            )
+
+        def across(axis: str) -> Column:
+            return F.greatest(
+                F.col(f"b.max_{axis}") - F.col(f"a.min_{axis}"), F.col(f"a.max_{axis}") - F.col(f"b.min_{axis}")
+            )
+
+        farthest = F.col("a.half") * 2
+        surely = F.col("a.reach") * (1 - 1e-9) - SLACK_M
+        may_touch = (sum(apart(a) * apart(a) for a in _AXES) <= farthest * farthest) & (apart("t") < F.col("a.span"))
+        all_near = (
+            (surely > 0)
+            & (sum(across(a) * across(a) for a in _AXES) <= surely * surely)
+            & (across("t") < F.col("a.span"))
+        )
+        ends = [F.col(f"{e}.{c}").alias(f"{c}_{e}") for e in ("a", "b") for c in ("no", "rows", "dense")]
+        boxes = [F.struct(*(F.col(f"{e}.{c}").alias(c) for c in _BOX)).alias(f"box_{e}") for e in ("a", "b")]
+        limits = F.struct(*(F.col(f"a.{c}").alias(c) for c in ("eps_space", "eps_time", "reach", "half", "span")))
+        return pairs.where(may_touch).select(
+            "traj_id", *ends, *boxes, limits.alias("limits"), all_near.alias("all_near")
+        )
 
-def points_of(points: DataFrame, cells: DataFrame, splits: DataFrame | None) -> DataFrame:
-    """Joins cell rows (traj_id, cell, ...) to the points of these cells."""
-    return split_points(points, splits).join(split_cells(cells, splits), ["traj_id", "cell", "part"]).drop("part")
+    def near_pairs(self, pairs: DataFrame) -> DataFrame:
+        """Neighbouring points `p` of cell a and `q` of cell b, for pairs of cells.
+
+        A point that is too far from the other cell's box is dropped before pairing.
+        """
+        slim = self.points.select("traj_id", "no", "ord", F.struct(*_POINT).alias("p"))
+        left = self.points_of(slim, pairs.withColumnRenamed("no_a", "no")).where(near_box("p", "box_b"))
+        left = left.withColumnRenamed("no", "no_a").drop("ord", "box_a", "box_b")
+        left = self._spread_cells(left.withColumnRenamed("no_b", "no"))
+        right = self._spread_points(slim).drop("ord").withColumnRenamed("p", "q")
+        ends = (F.col(f"{e}.{c}") for e in ("p", "q") for c in ("latitude", "longitude", "t"))
+        near = near_points(*ends, F.col("limits.eps_space"), F.col("limits.eps_time"))
+        return (
+            left.join(right, ["traj_id", "no", "part"])
+            .withColumnRenamed("no", "no_b")
+            .drop("part")
+            .where(near)
+        )
 
 
 _POINT = ("ord", "latitude", "longitude", "t", "x", "y", "z")
 
 
-def tested_pairs(points: DataFrame, partial: DataFrame, splits: DataFrame | None) -> DataFrame:
-    """Neighbouring points (p, q) of the cell pairs that no bounding box decides.
+def near_box(point: str, box: str) -> Column:
+    """Whether a point may have a neighbour inside a box."""
 
-    `partial` has (traj_id, cell_a, cell_b, limits) and other columns, which are
-    kept. A point is dropped early if it is too far from the other cell's box.
-    """
-    slim = points.select("traj_id", "cell", F.struct(*_POINT).alias("point"))
-    left = points_of(
-        slim.withColumn("ord", F.col("point.ord")),
-        partial.withColumnRenamed("cell_a", "cell"),
-        splits,
-    )
-    left = left.withColumnsRenamed({"cell": "cell_a", "point": "p"}).drop("ord").where(_near_box("p", "box_b"))
-    right = split_points(slim.withColumn("ord", F.col("point.ord")), splits)
-    right = right.drop("ord").withColumnsRenamed({"cell": "cell_b", "point": "q"})
-    return (
-        split_cells(left, splits, "cell_b")
-        .join(right, ["traj_id", "cell_b", "part"])
-        .drop("part")
-        .where(near("p", "q", "limits"))
-    )
-
-
-def _near_box(point: str, box: str) -> Column:
     def outside(axis: str) -> Column:
         at = F.col(f"{point}.{axis}")
         return F.greatest(F.lit(0), F.col(f"{box}.min_{axis}") - at, at - F.col(f"{box}.max_{axis}"))
@@ -235,37 +251,26 @@ def _near_box(point: str, box: str) -> Column:
     return (sum(outside(a) * outside(a) for a in _AXES) <= limit * limit) & (outside("t") < F.col("limits.span"))
 
 
-def undecided(pairs: DataFrame) -> DataFrame:
-    """Cell pairs for `tested_pairs`, with what it needs of both cells."""
-    box = [f"{n}_{a}" for a in (*_AXES, "t") for n in ("min", "max")]
-    return pairs.where(~F.col("all_near")).select(
-        "traj_id",
-        F.col("a.cell").alias("cell_a"),
-        F.col("b.cell").alias("cell_b"),
-        F.col("b.dense").alias("dense_b"),
-        F.struct(*(F.col(f"b.{c}").alias(c) for c in box)).alias("box_b"),
-        F.struct(*(F.col(f"a.{c}").alias(c) for c in ("eps_space", "eps_time", "half", "span"))).alias("limits"),
-    )
+def both_ways(pairs: DataFrame) -> DataFrame:
+    """Each pair of cells seen from either end."""
+    swapped = {f"{c}_{e}": f"{c}_{o}" for c in ("no", "rows", "dense", "box") for e, o in (("a", "b"), ("b", "a"))}
+    back = pairs.select(*(F.col(swapped.get(c, c)).alias(c) for c in pairs.columns))
+    return pairs.unionByName(back)
 
 
-def neighbour_counts(points: DataFrame, cell_rows: int = CELL_ROWS) -> DataFrame:
+def neighbour_counts(df: DataFrame, cell_rows: int = CELL_ROWS) -> DataFrame:
     """(traj_id, ord, neighbours) for points with search limits; a point counts itself."""
-    points = saved(in_cells(points))
-    cells = saved(cell_table(points))
-    splits = any_split(split_counts(cells, cell_rows))
-    pairs = saved(adjacent_cells(cells, cells))
-    whole = (
-        pairs.where("all_near")
-        .groupBy("traj_id", F.col("a.cell").alias("cell"))
-        .agg(F.sum("b.rows").alias("_whole"))
-    )
-    per_cell = cells.select("traj_id", "cell", "rows").join(whole, ["traj_id", "cell"], "left")
-    known = points_of(
-        points.select("traj_id", "cell", "ord"),
-        per_cell.select("traj_id", "cell", (F.col("rows") + F.coalesce("_whole", F.lit(0))).alias("n")),
-        splits,
+    index = CellIndex(df, cell_rows)
+    pairs = both_ways(saved(index.adjacent()))
+    whole = pairs.where("all_near").groupBy("traj_id", F.col("no_a").alias("no")).agg(F.sum("rows_b").alias("_whole"))
+    per_cell = index.cells.select("traj_id", "no", "rows").join(whole, ["traj_id", "no"], "left")
+    known = index.points_of(
+        index.points.select("traj_id", "no", "ord"),
+        per_cell.select("traj_id", "no", (F.col("rows") + F.coalesce("_whole", F.lit(0))).alias("n")),
     ).select("traj_id", "ord", "n")
-    tested = tested_pairs(points, undecided(pairs), splits).groupBy("traj_id", F.col("p.ord").alias("ord")).agg(
-        F.count(F.lit(1)).alias("n")
+    tested = (
+        index.near_pairs(pairs.where(~F.col("all_near")))
+        .groupBy("traj_id", F.col("p.ord").alias("ord"))
+        .agg(F.count(F.lit(1)).alias("n"))
     )
     return known.unionByName(tested).groupBy("traj_id", "ord").agg(F.sum("n").alias("neighbours"))

@@ -16,21 +16,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .cells import (
-    CELL_ROWS,
-    adjacent_cells,
-    any_split,
-    cell_table,
-    in_cells,
-    near_points,
-    points_of,
-    split_counts,
-    tested_pairs,
-    undecided,
-)
+from ..session import saved
+from .cells import CELL_ROWS, CellIndex, both_ways, extreme_points, near_points
 from .components import connected_components
 from .ordered import BLOCK_ROWS, ranked
-from ..session import saved
 
 NOISE = 0
 
@@ -39,14 +28,12 @@ class _Density:
     """The saved stages that core detection and clustering share."""
 
     def __init__(self, df: DataFrame, cell_rows: int) -> None:
-        self.points = saved(in_cells(df))
-        self.cells = saved(cell_table(self.points))
-        self.splits = any_split(split_counts(self.cells, cell_rows))
-        pairs = adjacent_cells(self.cells, self.cells)
-        # Between two dense cells one order is enough; a dense cell never asks a sparse one.
-        once = ~F.col("a.dense") | (F.col("b.dense") & (F.col("a.cell") < F.col("b.cell")))
-        self.pairs = saved(pairs.where(once))
-        self.sparse_pairs = self.pairs.where(~F.col("a.dense"))
+        self.index = CellIndex(df, cell_rows)
+        pairs = saved(self.index.adjacent())
+        both_dense = F.col("dense_a") & F.col("dense_b")
+        self.dense_pairs = pairs.where(both_dense)
+        # A dense cell has nothing to ask: all its points are core.
+        self.sparse_pairs = both_ways(pairs.where(~both_dense)).where(~F.col("dense_a"))
         self.tested = saved(self._tested())
         self.sparse = saved(self._sparse_points())
 
@@ -55,53 +42,47 @@ class _Density:
 
         In a dense cell their number is enough; in a sparse one each is listed.
         """
-        found = tested_pairs(self.points, undecided(self.sparse_pairs), self.splits)
+        found = self.index.near_pairs(self.sparse_pairs.where(~F.col("all_near")))
         return found.groupBy(
             "traj_id",
             F.col("p.ord").alias("ord"),
-            "cell_b",
+            "no_a",
+            "no_b",
             "dense_b",
             F.when(~F.col("dense_b"), F.col("q.ord")).alias("other"),
         ).agg(F.count(F.lit(1)).alias("n"))
 
     def _sparse_points(self) -> DataFrame:
-        """Points of sparse cells with `core`."""
+        """Points of sparse cells with `core`. Such a cell has fewer than min_pts rows."""
         whole = (
             self.sparse_pairs.where("all_near")
-            .groupBy("traj_id", F.col("a.cell").alias("cell"))
-            .agg(F.sum("b.rows").alias("_whole"))
-        )
-        sparse_cells = (
-            self.cells.where(~F.col("dense"))
-            .select("traj_id", "cell", "rows")
-            .join(whole, ["traj_id", "cell"], "left")
-            .select("traj_id", "cell", (F.col("rows") + F.coalesce("_whole", F.lit(0))).alias("_known"))
+            .groupBy("traj_id", F.col("no_a").alias("no"))
+            .agg(F.sum("rows_b").alias("_whole"))
         )
+        cells = self.index.cells.where(~F.col("dense")).select("traj_id", "no", "rows")
+        known = F.col("rows") + F.coalesce("_whole", F.lit(0))
         tested = self.tested.groupBy("traj_id", "ord").agg(F.sum("n").alias("_tested"))
-        neighbours = F.col("_known") + F.coalesce("_tested", F.lit(0))
-        columns = ["traj_id", "ord", "cell", "latitude", "longitude", "t", "eps_space", "eps_time", "min_pts"]
+        columns = ["traj_id", "ord", "no", "latitude", "longitude", "t", "eps_space", "eps_time", "min_pts"]
         return (
-            points_of(self.points.select(*columns), sparse_cells, self.splits)
+            self.index.points.where(~F.col("dense"))
+            .select(*columns)
+            .join(cells.join(whole, ["traj_id", "no"], "left"), ["traj_id", "no"])
             .join(tested, ["traj_id", "ord"], "left")
-            .withColumn("core", neighbours >= F.col("min_pts"))
-            .drop("_known", "_tested", "min_pts")
+            .withColumn("core", known + F.coalesce("_tested", F.lit(0)) >= F.col("min_pts"))
+            .drop("rows", "_whole", "_tested", "min_pts")
         )
 
     def core_cells(self) -> DataFrame:
         """Cells with a core point, and the first such point as `node`."""
-        dense = self.cells.where("dense").select("traj_id", "cell", F.col("first_ord").alias("node"))
-        sparse = self.sparse.where("core").groupBy("traj_id", "cell").agg(F.min("ord").alias("node"))
+        dense = self.index.cells.where("dense").select("traj_id", "no", F.col("no").alias("node"))
+        sparse = self.sparse.where("core").groupBy("traj_id", "no").agg(F.min("ord").alias("node"))
         return dense.unionByName(sparse)
 
-    def per_point(self, dense_value: DataFrame) -> DataFrame:
-        """Joins (traj_id, cell, ...) of dense cells to their points."""
-        return points_of(self.points.select("traj_id", "cell", "ord"), dense_value, self.splits).drop("cell")
-
 
 def core_points(df: DataFrame, cell_rows: int = CELL_ROWS) -> DataFrame:
     """(traj_id, ord) of the core points; `df` has search limits."""
     stages = _Density(df, cell_rows)
-    dense = stages.per_point(stages.cells.where("dense").select("traj_id", "cell"))
+    dense = stages.index.points.where("dense").select("traj_id", "ord")
     return dense.unionByName(stages.sparse.where("core").select("traj_id", "ord"))
 
 
@@ -119,18 +100,20 @@ def st_dbscan(
         "cluster_id",
         block_rows,
     )
+    # A cluster of many cells would gather under its seed: number the cells' clusters by
+    # a join that Spark may split, as nothing later relies on its partitioning.
     cell_cluster = saved(
         rooted.withColumnRenamed("root", "seed")
         .join(clusters, ["traj_id", "seed"])
-        .select("traj_id", "cell", "seed", F.col("cluster_id").cast("int").alias("cluster_id"))
-    )
-    in_dense = stages.per_point(
-        cell_cluster.join(stages.cells.where("dense").select("traj_id", "cell"), ["traj_id", "cell"], "left_semi")
-        .select("traj_id", "cell", "cluster_id")
+        .select("traj_id", "no", "seed", F.col("cluster_id").cast("int").alias("cluster_id"))
     )
+    in_core_cells = cell_cluster.select("traj_id", "no", "cluster_id")
+    in_dense = stages.index.points_of(
+        stages.index.points.where("dense").select("traj_id", "no", "ord"), in_core_cells
+    ).drop("no")
     in_sparse = (
         stages.sparse.where("core")
-        .join(cell_cluster, ["traj_id", "cell"])
+        .join(in_core_cells, ["traj_id", "no"])
         .select("traj_id", "ord", "cluster_id")
     )
     labels = in_dense.unionByName(in_sparse).unionByName(_border_labels(stages, cell_cluster))
@@ -142,43 +125,48 @@ def st_dbscan(
 
 
 def _rooted_cells(stages: _Density) -> DataFrame:
-    """(traj_id, cell, root): each core cell with the first core point of its component."""
+    """(traj_id, no, root): each core cell with the first core point of its component."""
     core_cells = saved(stages.core_cells())
     core = stages.sparse.where("core").select("traj_id", "ord")
-    from_core = stages.tested.join(core, ["traj_id", "ord"], "left_semi").join(
-        stages.sparse.select("traj_id", "ord", F.col("cell").alias("cell_a")), ["traj_id", "ord"]
-    )
-    to_dense = from_core.where("dense_b")
+    from_core = stages.tested.join(core, ["traj_id", "ord"], "left_semi")
     to_sparse = from_core.where(~F.col("dense_b")).join(
         core.withColumnRenamed("ord", "other"), ["traj_id", "other"], "left_semi"
     )
-    dense_pairs = stages.pairs.where(F.col("a.dense") & ~F.col("all_near"))
-    proven = stages.pairs.where(F.col("all_near") | (F.col("a.dense") & _corners_touch()))
-    cell_edges = proven.select("traj_id", F.col("a.cell").alias("cell_a"), F.col("b.cell").alias("cell_b"))
-    for more in (to_dense, to_sparse):
-        cell_edges = cell_edges.unionByName(more.select("traj_id", "cell_a", "cell_b"))
-    named = cell_edges.distinct()
-    for end, node in (("cell_a", "u"), ("cell_b", "v")):
-        named = named.join(
-            core_cells.withColumnsRenamed({"cell": end, "node": node}), ["traj_id", end]
-        )
-    roots = connected_components(named.select("traj_id", "u", "v"))
+    dense_pairs = _with_corner_contact(stages)
+    edges = stages.sparse_pairs.where("all_near").select("traj_id", "no_a", "no_b")
+    for more in (dense_pairs.where("touch"), from_core.where("dense_b"), to_sparse):
+        edges = edges.unionByName(more.select("traj_id", "no_a", "no_b"))
+    edges = edges.distinct()
+    for end, node in (("no_a", "u"), ("no_b", "v")):
+        edges = edges.join(core_cells.withColumnsRenamed({"no": end, "node": node}), ["traj_id", end])
+    roots = connected_components(edges.select("traj_id", "u", "v"))
     rooted = saved(
         core_cells.join(roots, ["traj_id", "node"], "left").select(
-            "traj_id", "cell", F.coalesce("root", "node").alias("root")
+            "traj_id", "no", F.coalesce("root", "node").alias("root")
         )
     )
-    return _joined_by_points(stages, rooted, dense_pairs.where(~_corners_touch()))
-
-
-def _corners_touch():
-    """Whether two extreme points of the cells are neighbours, which proves an edge."""
-    space, time = F.col("a.eps_space"), F.col("a.eps_time")
+    return _joined_by_points(stages, rooted, dense_pairs.where(~F.col("touch")).drop("touch"))
+
+
+def _with_corner_contact(stages: _Density) -> DataFrame:
+    """Dense pairs with `touch`: all points are near, or two extreme points are."""
+    open_pairs = stages.dense_pairs.where(~F.col("all_near"))
+    asked = open_pairs.select("traj_id", F.explode(F.array("no_a", "no_b")).alias("no")).distinct()
+    crowd = stages.index.points.where("dense")
+    corners = saved(extreme_points(crowd).join(asked, ["traj_id", "no"], "left_semi"))
+    pairs = open_pairs
+    for end in ("a", "b"):
+        pairs = pairs.join(
+            corners.withColumnsRenamed({"no": f"no_{end}", "corners": f"corners_{end}"}), ["traj_id", f"no_{end}"]
+        )
+    space, time = F.col("limits.eps_space"), F.col("limits.eps_time")
 
-    def touch(p, q):
+    def contact(p, q):
         return near_points(p.latitude, p.longitude, p.t, q.latitude, q.longitude, q.t, space, time)
 
-    return F.exists(F.col("a.corners"), lambda p: F.exists(F.col("b.corners"), lambda q: touch(p, q)))
+    any_corner = F.exists(F.col("corners_a"), lambda p: F.exists(F.col("corners_b"), lambda q: contact(p, q)))
+    tried = pairs.withColumn("touch", any_corner).drop("corners_a", "corners_b")
+    return saved(tried.unionByName(stages.dense_pairs.where("all_near").withColumn("touch", F.lit(True))))
 
 
 def _joined_by_points(stages: _Density, rooted: DataFrame, open_pairs: DataFrame) -> DataFrame:
@@ -186,22 +174,19 @@ def _joined_by_points(stages: _Density, rooted: DataFrame, open_pairs: DataFrame
 
     Only those matter whose cells are in different components so far.
     """
-    for side in ("a", "b"):
-        open_pairs = open_pairs.withColumn("cell", F.col(f"{side}.cell")).join(
-            rooted.withColumnRenamed("root", f"root_{side}"), ["traj_id", "cell"]
+    for end in ("a", "b"):
+        open_pairs = open_pairs.join(
+            rooted.withColumnsRenamed({"no": f"no_{end}", "root": f"root_{end}"}), ["traj_id", f"no_{end}"]
         )
-    open_pairs = saved(open_pairs.where(F.col("root_a") != F.col("root_b")).drop("cell"))
+    open_pairs = saved(open_pairs.where(F.col("root_a") != F.col("root_b")))
     if not open_pairs.take(1):
         return rooted
-    ends = open_pairs.select(
-        "traj_id", F.col("a.cell").alias("cell_a"), F.col("b.cell").alias("cell_b"), "root_a", "root_b"
-    )
-    touching = tested_pairs(stages.points, undecided(open_pairs), stages.splits)
-    edges = ends.join(touching.select("traj_id", "cell_a", "cell_b"), ["traj_id", "cell_a", "cell_b"], "left_semi")
-    merged = connected_components(edges.select("traj_id", F.col("root_a").alias("u"), F.col("root_b").alias("v")))
+    touching = stages.index.near_pairs(open_pairs)
+    edges = touching.select("traj_id", F.col("root_a").alias("u"), F.col("root_b").alias("v")).distinct()
+    merged = connected_components(edges)
     renamed = merged.select("traj_id", F.col("node").alias("root"), F.col("root").alias("_merged"))
     return rooted.join(renamed, ["traj_id", "root"], "left").select(
-        "traj_id", "cell", F.coalesce("_merged", "root").alias("root")
+        "traj_id", "no", F.coalesce("_merged", "root").alias("root")
     )
 
 
@@ -209,24 +194,20 @@ def _border_labels(stages: _Density, cell_cluster: DataFrame) -> DataFrame:
     """Labels of points that are no core point but have a core neighbour."""
     border = stages.sparse.where(~F.col("core"))
     ids = ["traj_id", "ord"]
-    own = border.select(*ids, "cell")
-    whole = border.select(*ids, F.col("cell").alias("_own")).join(
-        stages.sparse_pairs.where("all_near").select(
-            "traj_id", F.col("a.cell").alias("_own"), F.col("b.cell").alias("cell")
-        ),
-        ["traj_id", "_own"],
+    whole = border.select(*ids, F.col("no").alias("no_a")).join(
+        stages.sparse_pairs.where("all_near").select("traj_id", "no_a", F.col("no_b").alias("no")),
+        ["traj_id", "no_a"],
     )
     core = stages.sparse.where("core").select("traj_id", F.col("ord").alias("other"))
     tested = stages.tested.join(border.select(*ids), ids, "left_semi")
-    dense = tested.where("dense_b")
     listed = tested.where(~F.col("dense_b")).join(core, ["traj_id", "other"], "left_semi")
-    reached = own.unionByName(whole.drop("_own"))
-    for more in (dense, listed):
-        reached = reached.unionByName(more.select(*ids, F.col("cell_b").alias("cell")))
-    # `cell_cluster` lists cells with core points only; a cell of `own` or `whole` has all
-    # its points near, so any core point in it counts.
-    found = reached.join(cell_cluster, ["traj_id", "cell"]).select(*ids, "seed", "cluster_id").distinct()
-    seeds = stages.points.join(
+    # All points of the own cell and of whole near cells are neighbours, so any core
+    # point in them counts; the join below keeps the cells that have one.
+    reached = border.select(*ids, "no").unionByName(whole.drop("no_a"))
+    for more in (tested.where("dense_b"), listed):
+        reached = reached.unionByName(more.select(*ids, F.col("no_b").alias("no")))
+    found = reached.join(cell_cluster, ["traj_id", "no"]).select(*ids, "seed", "cluster_id").distinct()
+    seeds = stages.index.points.join(
         cell_cluster.select("traj_id", F.col("seed").alias("ord")).distinct(), ids, "left_semi"
     ).select("traj_id", F.col("ord").alias("seed"), *(F.col(c).alias(f"_{c}") for c in ("latitude", "longitude", "t")))
     at_seed = near_points(
@@ -235,8 +216,8 @@ def _border_labels(stages: _Density, cell_cluster: DataFrame) -> DataFrame:
         F.col("eps_time"),
     )
     return (
-        found.join(seeds, ["traj_id", "seed"])
-        .join(border.drop("cell", "core"), ids)
+        found.join(border.drop("no", "core"), ids)
+        .join(seeds, ["traj_id", "seed"])
         .groupBy(*ids)
         .agg(
             F.coalesce(F.max(F.when(at_seed, F.col("cluster_id"))), F.min("cluster_id")).alias("cluster_id")

@@ -90,7 +90,8 @@ def _places(df: DataFrame, max_k: int, block_rows: int | None) -> DataFrame:
     everything = F.lit(3 * EARTH_RADIUS_M)
     radius = F.when(bound < 1.9 * EARTH_RADIUS_M, bound).otherwise(everything)
     bounded = near.withColumn("_around", around).withColumn("radius", radius).drop("_around")
-    level = F.greatest(F.lit(0), F.ceil(F.log2(F.col("radius") / _UNIT_M) + 1e-9)).cast("int")
+    # Every second level is enough, and halves what each place is entered at.
+    level = 2 * F.greatest(F.lit(0), F.ceil((F.log2(F.col("radius") / _UNIT_M) + 1e-9) / 2)).cast("int")
     searching = (F.col("copies") <= F.col("k")) & (F.col("n") > F.col("k"))
     leveled = home_rows(bounded, block_rows, "place").withColumn("level", F.when(searching, level))
     return _with_levels(leveled, block_rows)
@@ -147,6 +148,12 @@ def _search(open_places: DataFrame, places: DataFrame, max_k: int, cell_rows: in
         )
         probe = probe.withColumn(f"c{axis}", F.explode(F.sequence(first, last)))
 
+    # Cells that do not touch the sphere hold no places.
+    side = F.pow(F.lit(2.0), F.col("level")) * _UNIT_M
+    middle = ((F.col(f"c{a}") + 0.5) * side - EARTH_RADIUS_M for a in _AXES)
+    off_sphere = F.abs(F.sqrt(sum(m * m for m in middle)) - EARTH_RADIUS_M) > side * 0.9 + 1.0
+    probe = probe.where(~off_sphere)
+
     in_use = F.filter(
         F.sequence(F.lit(0), F.lit(_BITS + 3)),
         lambda l: F.call_function("shiftright", F.col("levels"), l).bitwiseAND(F.lit(1)) == 1,
