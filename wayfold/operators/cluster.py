@@ -152,8 +152,7 @@ def _with_corner_contact(stages: _Density) -> DataFrame:
     """Dense pairs with `touch`: all points are near, or two extreme points are."""
     open_pairs = stages.dense_pairs.where(~F.col("all_near"))
     asked = open_pairs.select("traj_id", F.explode(F.array("no_a", "no_b")).alias("no")).distinct()
-    crowd = stages.index.points.where("dense")
-    corners = saved(extreme_points(crowd).join(asked, ["traj_id", "no"], "left_semi"))
+    corners = saved(extreme_points(stages.index.points_of(stages.index.points.where("dense"), asked)))
     pairs = open_pairs
     for end in ("a", "b"):
         pairs = pairs.join(

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timeops import whole_seconds
-from .ordered import BLOCK_ROWS, home_rows, neighbouring_rows, ranked, running_sum
+from .ordered import BLOCK_ROWS, home_rows, neighbouring_rows, ranked, running_sum, unfold
 from .segments import JUMP_RATE, MAX_JUMP_POINTS, jump_candidates
 
 
@@ -29,9 +29,11 @@ def curve(df: DataFrame, value: str | Column, copies: Column | None = None) -> D
 
 def indexed_curve(df: DataFrame, block_rows: int | None = BLOCK_ROWS) -> DataFrame:
     """One row per point of the curve, descending, with its 0-based index."""
-    last = _with_last_index(df, -F.col("value"), block_rows)
-    steps = F.explode(F.sequence(F.col("_upto") - F.col("copies"), F.col("_upto") - 1))
-    return last.select("traj_id", steps.alias("idx"), "value")
+    placed = _with_last_index(df, -F.col("value"), block_rows)
+    ranges = placed.select(
+        "traj_id", "value", (F.col("_upto") - F.col("copies")).alias("_first"), (F.col("_upto") - 1).alias("_last")
+    )
+    return unfold(ranges, "_first", "_last", "idx").select("traj_id", "idx", "value")
 
 
 def _with_last_index(df: DataFrame, order: Column, block_rows: int | None, **totals) -> DataFrame:

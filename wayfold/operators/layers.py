@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import BLOCK_ROWS, running_sum
+from .ordered import BLOCK_ROWS, running_sum, unfold
 
 
 def layer_union(layers: dict[str, DataFrame]) -> DataFrame:
@@ -38,28 +40,23 @@ def animation_frames(union: DataFrame) -> DataFrame:
     return timed.select("traj_id", "timestamp").distinct()
 
 
-def visible_by_time(union: DataFrame, block_rows: int | None = BLOCK_ROWS) -> DataFrame:
+def visible_by_time(
+    union: DataFrame, labels: Sequence[str], block_rows: int | None = BLOCK_ROWS
+) -> DataFrame:
     """(traj_id, timestamp, label, visible): rows shown in each frame of a replay by time.
 
     A timed layer shows its rows up to the frame, one without times all its rows.
     Rows are counted per time before anything is ordered.
     """
     per_time = union.groupBy("traj_id", "label", "timestamp").agg(F.count(F.lit(1)).alias("_n"))
-    labels = [r.label for r in per_time.select("label").distinct().collect()]
-    frame = animation_frames(union).withColumn("label", F.explode(F.array(*map(F.lit, sorted(labels)))))
+    frame = animation_frames(union).withColumn("label", F.explode(F.array(*map(F.lit, labels))))
     counted = frame.join(per_time, ["traj_id", "label", "timestamp"], "left").withColumn(
         "_n", F.coalesce("_n", F.lit(0))
     )
-    # An untimed layer is there from the first frame on: a row before all frames.
+    # Rows without a time are there from the first frame on: they sort before all frames.
     untimed = per_time.where(F.col("timestamp").isNull())
-    present = per_time.select("traj_id", "label").distinct()
     shown = running_sum(
-        counted.join(present, ["traj_id", "label"], "left_semi").unionByName(untimed),
-        ["traj_id", "label"],
-        [F.col("timestamp")],
-        F.col("_n"),
-        "visible",
-        block_rows,
+        counted.unionByName(untimed), ["traj_id", "label"], [F.col("timestamp")], F.col("_n"), "visible", block_rows
     )
     return shown.where(F.col("timestamp").isNotNull()).select("traj_id", "timestamp", "label", "visible")
 
@@ -67,11 +64,8 @@ def visible_by_time(union: DataFrame, block_rows: int | None = BLOCK_ROWS) -> Da
 def visible_by_index(union: DataFrame) -> DataFrame:
     """(traj_id, frame, label, visible) of a replay row by row: frame f shows f + 1 rows."""
     heights = union.groupBy("traj_id", "label").agg(F.count(F.lit(1)).alias("height"))
-    # One row per layer carries all heights of its trajectory, then unfolds into frames.
-    longest = heights.groupBy("traj_id").agg(F.max("height").alias("frames"))
-    unfolded = heights.join(longest, "traj_id").withColumn(
-        "frame", F.explode(F.sequence(F.lit(0).cast("long"), F.col("frames") - 1))
-    )
-    return unfolded.select(
+    longest = heights.groupBy("traj_id").agg((F.max("height") - 1).alias("_last"))
+    layered = heights.join(longest, "traj_id").withColumn("_first", F.lit(0).cast("long"))
+    return unfold(layered, "_first", "_last", "frame").select(
         "traj_id", "frame", "label", F.least(F.col("frame") + 1, F.col("height")).alias("visible")
     )

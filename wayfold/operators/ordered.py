@@ -183,3 +183,26 @@ def attach(
     blocked = df.withColumn("_block", block_of(block_rows, ord_col))
     blocks = blocked.select("traj_id", "_block").distinct()
     return blocked.join(blocks.join(per_trajectory, "traj_id"), ["traj_id", "_block"], how).drop("_block")
+
+
+# --- rows from ranges ----------------------------------------------------------
+
+_UNFOLD_ROWS = 100_000
+
+
+def unfold(df: DataFrame, first: str, last: str, name: str, rows: int = _UNFOLD_ROWS) -> DataFrame:
+    """One row per number from `first` to `last`, both dropped.
+
+    A range of more than `rows` numbers is cut and spread over tasks before it unfolds.
+    """
+    long = F.col(last) - F.col(first) >= rows
+    pieces = (
+        df.where(long)
+        .withColumn("_from", F.explode(F.sequence(F.col(first), F.col(last), F.lit(rows).cast("long"))))
+        .withColumn(last, F.least(F.col("_from") + (rows - 1), F.col(last)))
+        .withColumn(first, F.col("_from"))
+        .drop("_from")
+        .repartition(first, last)
+    )
+    parts = df.where(~long).unionByName(pieces)
+    return parts.withColumn(name, F.explode(F.sequence(first, last))).drop(first, last)

@@ -26,6 +26,7 @@ from ..operators.ordered import BLOCK_ROWS, ranked
 from ..operators.segments import gap_distances, jump_segments, remove_jumps, segment_context, segment_means, with_segments
 from ..session import saved
 
+LABELS = ("Raw GPS", "Timeline Path", "Visit", "Activity")
 USABLE = "usable"
 TOO_SHORT = "too short"
 EPS_NOT_POSITIVE = "eps not positive"
@@ -139,11 +140,10 @@ def compare_sources(
     raw: DataFrame, paths: DataFrame, visits: DataFrame, activities: DataFrame, start: datetime, end: datetime
 ) -> DataFrame:
     """The four tables of one time range as point layers."""
-    return layer_union(
-        {
-            "Raw GPS": filter_points(raw, start, end),
-            "Timeline Path": filter_points(paths, start, end),
-            "Visit": filter_intervals(visits, start, end),
-            "Activity": activity_starts(filter_intervals(activities, start, end)),
-        }
+    in_range = (
+        filter_points(raw, start, end),
+        filter_points(paths, start, end),
+        filter_intervals(visits, start, end),
+        activity_starts(filter_intervals(activities, start, end)),
     )
+    return layer_union(dict(zip(LABELS, in_range)))

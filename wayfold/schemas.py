@@ -78,29 +78,26 @@ CLUSTERED_POSITIONS = Table(
     "clustered_positions", RAW_POSITIONS.rules + (Rule("cluster_id", T.IntegerType(), 0),)
 )
 
-# The parts of a location-history document that the readers use. Each reader
+# The parts of a location-history document that the readers use, as DDL. Each reader
 # asks for its own part only, so the JSON parser skips the rest.
-RAW_SIGNALS_JSON = T.StructType.fromDDL(
+RAW_SIGNALS_JSON = (
     "rawSignals array<struct<position: struct<"
     "LatLng: string, accuracyMeters: bigint, timestamp: string>>>"
 )
 _SEGMENT_PARTS = {
-    "timelinePath": "timelinePath: array<struct<point: string, time: string>>",
+    "timelinePath": "array<struct<point: string, time: string>>",
     "visit": (
-        "visit: struct<probability: double, topCandidate: struct<semanticType: string, "
+        "struct<probability: double, topCandidate: struct<semanticType: string, "
         "probability: double, placeLocation: struct<latLng: string>>>"
     ),
     "activity": (
-        "activity: struct<start: struct<latLng: string>, `end`: struct<latLng: string>, "
+        "struct<start: struct<latLng: string>, `end`: struct<latLng: string>, "
         "distanceMeters: double, probability: double, "
         "topCandidate: struct<type: string, probability: double>>"
     ),
 }
 
 
-def semantic_segments_json(*parts: str) -> T.StructType:
-    """Schema of the segment array with only the named parts."""
-    wanted = ", ".join(_SEGMENT_PARTS[p] for p in (parts or _SEGMENT_PARTS))
-    return T.StructType.fromDDL(
-        f"semanticSegments array<struct<startTime: string, endTime: string, {wanted}>>"
-    )
+def semantic_segments_json(part: str) -> str:
+    """Schema of the segment array with only one kind of segment."""
+    return f"semanticSegments array<struct<startTime: string, endTime: string, {part}: {_SEGMENT_PARTS[part]}>>"

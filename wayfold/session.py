@@ -23,7 +23,7 @@ def local_session(cpus: str = "*", name: str = "wayfold") -> SparkSession:
     )
 
 
-def _shared_folder(spark: SparkSession) -> str:
+def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in spark.checkpoint.dir.
 
     Only a local session may fall back to a temporary folder; on a cluster its
@@ -51,6 +51,6 @@ def saved(df: DataFrame) -> DataFrame:
     Cuts the lineage, survives lost executors, and gives later joins true sizes.
     """
     spark = df.sparkSession
-    path = os.path.join(_shared_folder(spark), f"wayfold-{uuid.uuid4().hex}")
+    path = os.path.join(shared_folder(spark), f"wayfold-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

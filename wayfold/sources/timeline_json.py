@@ -8,19 +8,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.parsing import coordinate, instant
 from ..schemas import ACTIVITIES, RAW_POSITIONS, RAW_SIGNALS_JSON, TIMELINE_PATHS, VISITS, semantic_segments_json
 
 
-def read_documents(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+def read_documents(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
     """Documents under `path`, with the file as `traj_id`."""
     documents = spark.read.schema(schema).option("multiLine", True).json(path)
-    return documents.select(F.col("_metadata.file_path").alias("traj_id"), *schema.names)
+    return documents.select(F.col("_metadata.file_path").alias("traj_id"), *documents.columns)
 
 
-def parse_documents(texts: DataFrame, schema: T.StructType) -> DataFrame:
+def parse_documents(texts: DataFrame, schema: str) -> DataFrame:
     """The same for documents that are already a column `text` next to `traj_id`."""
     parsed = F.from_json("text", schema)
     return texts.select("traj_id", parsed.alias("_d")).select("traj_id", "_d.*")
