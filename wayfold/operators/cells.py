@@ -11,6 +11,8 @@ prove that all pairs, or none, are near enough. Only the rest is tested point by
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,8 @@ from .ordered import BLOCK_ROWS, attach
 
 # Points of one cell that one task takes before the cell is split.
 CELL_ROWS = 200_000
+# Points of one box that are tested one by one.
+LEAF_ROWS = 256
 # Below this distance a cell cannot promise that its points are neighbours, so
 # it then holds equal coordinates only.
 _SMALLEST_REACH_M = 1e-4
@@ -118,7 +122,8 @@ def near_points(lat1, lon1, t1, lat2, lon2, t2, eps_space, eps_time) -> Column:
 class CellIndex:
     """Points and their cells, saved, with crowded cells cut into parts."""
 
-    def __init__(self, df: DataFrame, cell_rows: int = CELL_ROWS) -> None:
+    def __init__(self, df: DataFrame, cell_rows: int = CELL_ROWS, leaf_rows: int = LEAF_ROWS) -> None:
+        self._leaf_rows = leaf_rows
         located = in_cells(df)
         self.cells = saved(cell_table(located))
         # At most one row per `cell_rows` points, so broadcasting it is safe.
@@ -126,7 +131,7 @@ class CellIndex:
             "traj_id", "cell", "no", F.ceil(F.col("rows") / F.lit(cell_rows)).cast("int").alias("_parts")
         )
         self._crowded = F.broadcast(crowded) if crowded.take(1) else None
-        numbered = self.cells.select("traj_id", "cell", "no", "dense")
+        numbered = self.cells.select("traj_id", "cell", "no", "rows", "dense")
         self.points = saved(
             self._spread_points(located, "cell")
             .join(self._spread_cells(numbered, "cell"), ["traj_id", "cell", "part"])
@@ -217,40 +222,127 @@ class CellIndex:
             "traj_id", *ends, *boxes, limits.alias("limits"), all_near.alias("all_near")
         )
 
+    def _probes(self, pairs: DataFrame) -> DataFrame:
+        """Points `p` of each cell a that are near the box of cell b."""
+        slim = self.points.select("traj_id", "no", "ord", F.struct(*_POINT).alias("p"))
+        left = self.points_of(slim, pairs.withColumnRenamed("no_a", "no")).where(_near_box("box_b"))
+        return left.select("traj_id", F.col("no").alias("no_a"), "no_b", "p", "limits")
+
     def near_pairs(self, pairs: DataFrame) -> DataFrame:
-        """Neighbouring points `p` of cell a and `q` of cell b, for pairs of cells.
+        """Neighbouring points `p` of cell a and `q` of cell b; cells b must be sparse."""
+        others = self.points.where(~F.col("dense"))
+        return self._tested(self._probes(pairs), others, ["no_b"])
 
-        A point that is too far from the other cell's box is dropped before pairing.
+    def near_counts(self, pairs: DataFrame) -> DataFrame:
+        """(traj_id, no_a, no_b, ord, n): neighbours of points of cell a in cell b, if any.
+
+        The points of a crowded cell are not tried one by one: the cell is halved
+        along every axis, again and again, and boxes that are wholly near or wholly
+        out of reach are settled by their row count. A point so meets only the
+        boxes on the edge of its reach, down to boxes of `leaf_rows` points.
         """
-        slim = self.points.select("traj_id", "no", "ord", F.struct(*_POINT).alias("p"))
-        left = self.points_of(slim, pairs.withColumnRenamed("no_a", "no")).where(near_box("p", "box_b"))
-        left = left.withColumnRenamed("no", "no_a").drop("ord", "box_a", "box_b")
-        left = self._spread_cells(left.withColumnRenamed("no_b", "no"))
-        right = self._spread_points(slim).drop("ord").withColumnRenamed("p", "q")
-        ends = (F.col(f"{e}.{c}") for e in ("p", "q") for c in ("latitude", "longitude", "t"))
-        near = near_points(*ends, F.col("limits.eps_space"), F.col("limits.eps_time"))
-        return (
-            left.join(right, ["traj_id", "no", "part"])
-            .withColumnRenamed("no", "no_b")
-            .drop("part")
-            .where(near)
+        few = F.col("rows") <= self._leaf_rows
+        small = self._tested(
+            self._probes(pairs.where(F.col("rows_b") <= self._leaf_rows)), self.points.where(few), ["no_b"]
         )
+        counts = small.groupBy(*_PROBE).agg(F.count(F.lit(1)).alias("n"))
+        crowded = pairs.where(F.col("rows_b") > self._leaf_rows)
+        if not crowded.take(1):
+            return counts
+        parts = [counts, *self._halved(self._probes(crowded), self.points.where(~few))]
+        return reduce(DataFrame.unionByName, parts).groupBy(*_PROBE).agg(F.sum("n").alias("n"))
+
+    def _halved(self, probes: DataFrame, points: DataFrame) -> list[DataFrame]:
+        counts = []
+        open_boxes = probes.withColumn("ord", F.col("p.ord"))
+        above: list[str] = []
+        for level in range(1, _MAX_LEVEL + 1):
+            key = [f"k{a}" for a in (*_AXES, "t")]
+            placed = points.withColumns(_halving_key(level))
+            boxes = placed.groupBy("traj_id", F.col("no").alias("no_b"), *key).agg(
+                F.count(F.lit(1)).alias("rows"),
+                F.struct(
+                    *(f(c).alias(f"{n}_{c}") for c in (*_AXES, "t", "latitude", "longitude") for n, f in (("min", F.min), ("max", F.max)))
+                ).alias("box"),
+            )
+            boxes = boxes.withColumns({f"above_{k}": F.shiftright(k, 1) for k in key})
+            found = open_boxes.join(boxes, ["traj_id", "no_b", *above]).where(_near_box("box"))
+            one_place = reduce(
+                lambda x, y: x & y,
+                (F.col(f"box.min_{c}") == F.col(f"box.max_{c}") for c in ("t", "latitude", "longitude")),
+            )
+            at_place = _near("p", *(F.col(f"box.min_{c}") for c in ("latitude", "longitude", "t")))
+            settled = saved(
+                found.withColumn("whole", F.when(one_place, at_place).otherwise(_inside("box")))
+                .where(F.col("whole") | ~one_place)
+                .withColumn("leaf", (F.col("rows") <= self._leaf_rows) | F.lit(level == _MAX_LEVEL))
+                .select("traj_id", "no_a", "no_b", "ord", "p", "limits", "rows", "whole", "leaf", *key)
+            )
+            counts.append(settled.where("whole").select(*_PROBE, F.col("rows").alias("n")))
+            still = settled.where(~F.col("whole"))
+            tested = self._tested(still.where("leaf").drop("rows"), placed, ["no_b", *key])
+            counts.append(tested.groupBy(*_PROBE).agg(F.count(F.lit(1)).alias("n")))
+            open_boxes = still.where(~F.col("leaf")).select(
+                "traj_id", "no_a", "no_b", "ord", "p", "limits", *(F.col(k).alias(f"above_{k}") for k in key)
+            )
+            above = [f"above_{k}" for k in key]
+            if not open_boxes.take(1):
+                break
+        return counts
+
+    def _tested(self, probes: DataFrame, points: DataFrame, keys: list[str]) -> DataFrame:
+        """Probes with the points `q` that pass the exact test."""
+        others = points.withColumnRenamed("no", "no_b").select("traj_id", *keys, F.struct(*_POINT).alias("q"))
+        near = _near("p", *(F.col(f"q.{c}") for c in ("latitude", "longitude", "t")))
+        return probes.drop("ord").join(others, ["traj_id", *keys]).where(near).withColumn("ord", F.col("p.ord"))
 
 
 _POINT = ("ord", "latitude", "longitude", "t", "x", "y", "z")
 
 
-def near_box(point: str, box: str) -> Column:
-    """Whether a point may have a neighbour inside a box."""
+_PROBE = ("traj_id", "no_a", "no_b", "ord")
+_MAX_LEVEL = 40
+
+
+def _near(point: str, latitude: Column, longitude: Column, t: Column) -> Column:
+    here = (F.col(f"{point}.{c}") for c in ("latitude", "longitude", "t"))
+    return near_points(*here, latitude, longitude, t, F.col("limits.eps_space"), F.col("limits.eps_time"))
+
+
+def _near_box(box: str) -> Column:
+    """Whether point `p` may have a neighbour inside a box."""
 
     def outside(axis: str) -> Column:
-        at = F.col(f"{point}.{axis}")
+        at = F.col(f"p.{axis}")
         return F.greatest(F.lit(0), F.col(f"{box}.min_{axis}") - at, at - F.col(f"{box}.max_{axis}"))
 
     limit = F.col("limits.half") * 2
     return (sum(outside(a) * outside(a) for a in _AXES) <= limit * limit) & (outside("t") < F.col("limits.span"))
 
 
+def _inside(box: str) -> Column:
+    """Whether all points of a box are surely neighbours of point `p`."""
+
+    def farthest(axis: str) -> Column:
+        at = F.col(f"p.{axis}")
+        return F.greatest(F.col(f"{box}.max_{axis}") - at, at - F.col(f"{box}.min_{axis}"))
+
+    surely = F.col("limits.reach") * (1 - 1e-9) - SLACK_M
+    return (
+        (surely > 0)
+        & (sum(farthest(a) * farthest(a) for a in _AXES) <= surely * surely)
+        & (farthest("t") < F.col("limits.span"))
+    )
+
+
+def _halving_key(level: int) -> dict[str, Column]:
+    """Which of the 2^level slices of its cell a point is in, along each axis."""
+    slices = float(1 << level)
+    keys = {f"k{a}": F.floor(F.col(a) / F.col("half") * slices) for a in _AXES}
+    in_bin = F.pmod(F.col("t"), F.col("span")).cast("double")
+    return keys | {"kt": F.floor(in_bin / F.col("span") * slices)}
+
+
 def both_ways(pairs: DataFrame) -> DataFrame:
     """Each pair of cells seen from either end."""
     swapped = {f"{c}_{e}": f"{c}_{o}" for c in ("no", "rows", "dense", "box") for e, o in (("a", "b"), ("b", "a"))}
@@ -258,9 +350,9 @@ def both_ways(pairs: DataFrame) -> DataFrame:
     return pairs.unionByName(back)
 
 
-def neighbour_counts(df: DataFrame, cell_rows: int = CELL_ROWS) -> DataFrame:
+def neighbour_counts(df: DataFrame, cell_rows: int = CELL_ROWS, leaf_rows: int = LEAF_ROWS) -> DataFrame:
     """(traj_id, ord, neighbours) for points with search limits; a point counts itself."""
-    index = CellIndex(df, cell_rows)
+    index = CellIndex(df, cell_rows, leaf_rows)
     pairs = both_ways(saved(index.adjacent()))
     whole = pairs.where("all_near").groupBy("traj_id", F.col("no_a").alias("no")).agg(F.sum("rows_b").alias("_whole"))
     per_cell = index.cells.select("traj_id", "no", "rows").join(whole, ["traj_id", "no"], "left")
@@ -268,9 +360,5 @@ def neighbour_counts(df: DataFrame, cell_rows: int = CELL_ROWS) -> DataFrame:
         index.points.select("traj_id", "no", "ord"),
         per_cell.select("traj_id", "no", (F.col("rows") + F.coalesce("_whole", F.lit(0))).alias("n")),
     ).select("traj_id", "ord", "n")
-    tested = (
-        index.near_pairs(pairs.where(~F.col("all_near")))
-        .groupBy("traj_id", F.col("p.ord").alias("ord"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    tested = index.near_counts(pairs.where(~F.col("all_near"))).select("traj_id", "ord", "n")
     return known.unionByName(tested).groupBy("traj_id", "ord").agg(F.sum("n").alias("neighbours"))

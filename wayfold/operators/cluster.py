@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import saved
-from .cells import CELL_ROWS, CellIndex, both_ways, extreme_points, near_points
+from .cells import CELL_ROWS, LEAF_ROWS, CellIndex, both_ways, extreme_points, near_points
 from .components import connected_components
 from .ordered import BLOCK_ROWS, ranked
 
@@ -27,8 +27,8 @@ NOISE = 0
 class _Density:
     """The saved stages that core detection and clustering share."""
 
-    def __init__(self, df: DataFrame, cell_rows: int) -> None:
-        self.index = CellIndex(df, cell_rows)
+    def __init__(self, df: DataFrame, cell_rows: int, leaf_rows: int) -> None:
+        self.index = CellIndex(df, cell_rows, leaf_rows)
         pairs = saved(self.index.adjacent())
         both_dense = F.col("dense_a") & F.col("dense_b")
         self.dense_pairs = pairs.where(both_dense)
@@ -40,17 +40,14 @@ class _Density:
     def _tested(self) -> DataFrame:
         """Neighbours of points in sparse cells, in cells no box decides.
 
-        In a dense cell their number is enough; in a sparse one each is listed.
+        In a dense cell their number is enough; in a sparse one each is listed as `other`.
         """
-        found = self.index.near_pairs(self.sparse_pairs.where(~F.col("all_near")))
-        return found.groupBy(
-            "traj_id",
-            F.col("p.ord").alias("ord"),
-            "no_a",
-            "no_b",
-            "dense_b",
-            F.when(~F.col("dense_b"), F.col("q.ord")).alias("other"),
-        ).agg(F.count(F.lit(1)).alias("n"))
+        open_pairs = self.sparse_pairs.where(~F.col("all_near"))
+        listed = self.index.near_pairs(open_pairs.where(~F.col("dense_b"))).select(
+            "traj_id", "no_a", "no_b", "ord", F.lit(1).cast("long").alias("n"), F.col("q.ord").alias("other")
+        )
+        counted = self.index.near_counts(open_pairs.where("dense_b"))
+        return listed.unionByName(counted.withColumn("other", F.lit(None).cast("long")))
 
     def _sparse_points(self) -> DataFrame:
         """Points of sparse cells with `core`. Such a cell has fewer than min_pts rows."""
@@ -79,19 +76,22 @@ class _Density:
         return dense.unionByName(sparse)
 
 
-def core_points(df: DataFrame, cell_rows: int = CELL_ROWS) -> DataFrame:
+def core_points(df: DataFrame, cell_rows: int = CELL_ROWS, leaf_rows: int = LEAF_ROWS) -> DataFrame:
     """(traj_id, ord) of the core points; `df` has search limits."""
-    stages = _Density(df, cell_rows)
+    stages = _Density(df, cell_rows, leaf_rows)
     dense = stages.index.points.where("dense").select("traj_id", "ord")
     return dense.unionByName(stages.sparse.where("core").select("traj_id", "ord"))
 
 
 def st_dbscan(
-    df: DataFrame, block_rows: int | None = BLOCK_ROWS, cell_rows: int = CELL_ROWS
+    df: DataFrame,
+    block_rows: int | None = BLOCK_ROWS,
+    cell_rows: int = CELL_ROWS,
+    leaf_rows: int = LEAF_ROWS,
 ) -> DataFrame:
     """Adds `cluster_id` to points with search limits (see `with_search_limits`)."""
     df = saved(df)
-    stages = _Density(df, cell_rows)
+    stages = _Density(df, cell_rows, leaf_rows)
     rooted = _rooted_cells(stages)
     clusters = ranked(
         rooted.select("traj_id", F.col("root").alias("seed")).distinct(),
@@ -129,12 +129,12 @@ def _rooted_cells(stages: _Density) -> DataFrame:
     core_cells = saved(stages.core_cells())
     core = stages.sparse.where("core").select("traj_id", "ord")
     from_core = stages.tested.join(core, ["traj_id", "ord"], "left_semi")
-    to_sparse = from_core.where(~F.col("dense_b")).join(
+    to_sparse = from_core.where(F.col("other").isNotNull()).join(
         core.withColumnRenamed("ord", "other"), ["traj_id", "other"], "left_semi"
     )
     dense_pairs = _with_corner_contact(stages)
     edges = stages.sparse_pairs.where("all_near").select("traj_id", "no_a", "no_b")
-    for more in (dense_pairs.where("touch"), from_core.where("dense_b"), to_sparse):
+    for more in (dense_pairs.where("touch"), from_core.where(F.col("other").isNull()), to_sparse):
         edges = edges.unionByName(more.select("traj_id", "no_a", "no_b"))
     edges = edges.distinct()
     for end, node in (("no_a", "u"), ("no_b", "v")):
@@ -180,8 +180,10 @@ def _joined_by_points(stages: _Density, rooted: DataFrame, open_pairs: DataFrame
     open_pairs = saved(open_pairs.where(F.col("root_a") != F.col("root_b")))
     if not open_pairs.take(1):
         return rooted
-    touching = stages.index.near_pairs(open_pairs)
-    edges = touching.select("traj_id", F.col("root_a").alias("u"), F.col("root_b").alias("v")).distinct()
+    touching = stages.index.near_counts(open_pairs).select("traj_id", "no_a", "no_b").distinct()
+    edges = open_pairs.join(touching, ["traj_id", "no_a", "no_b"], "left_semi").select(
+        "traj_id", F.col("root_a").alias("u"), F.col("root_b").alias("v")
+    )
     merged = connected_components(edges)
     renamed = merged.select("traj_id", F.col("node").alias("root"), F.col("root").alias("_merged"))
     return rooted.join(renamed, ["traj_id", "root"], "left").select(
@@ -199,11 +201,11 @@ def _border_labels(stages: _Density, cell_cluster: DataFrame) -> DataFrame:
     )
     core = stages.sparse.where("core").select("traj_id", F.col("ord").alias("other"))
     tested = stages.tested.join(border.select(*ids), ids, "left_semi")
-    listed = tested.where(~F.col("dense_b")).join(core, ["traj_id", "other"], "left_semi")
+    listed = tested.where(F.col("other").isNotNull()).join(core, ["traj_id", "other"], "left_semi")
     # All points of the own cell and of whole near cells are neighbours, so any core
     # point in them counts; the join below keeps the cells that have one.
     reached = border.select(*ids, "no").unionByName(whole.drop("no_a"))
-    for more in (tested.where("dense_b"), listed):
+    for more in (tested.where(F.col("other").isNull()), listed):
         reached = reached.unionByName(more.select(*ids, F.col("no_b").alias("no")))
     found = reached.join(cell_cluster, ["traj_id", "no"]).select(*ids, "seed", "cluster_id").distinct()
     seeds = stages.index.points.join(
