@@ -36,16 +36,17 @@ def broken_rules(df: DataFrame, table: Table) -> dict[str, Column]:
     rules: dict[str, Column] = {}
     for rule in table.rules:
         value = F.col(rule.name)
-        if not _fits(df.schema[rule.name].dataType, rule.type):
+        fits = _fits(df.schema[rule.name].dataType, rule.type)
+        if not fits:
             rules[f"{rule.name}: type"] = value.isNotNull()
         rules[f"{rule.name}: missing"] = value.isNull()
-        if rule.low is not None:
+        if fits and rule.low is not None:
             rules[f"{rule.name}: range"] = F.coalesce(~_in_range(rule), F.lit(False))
     return rules
 
 
 def _in_range(rule: Rule) -> Column:
-    # NaN sorts above every number, so an upper bound rejects it; a lower one does not.
+    # NaN sorts above every number, so a lower bound alone would let it pass.
     value = F.col(rule.name)
     above = value >= rule.low
     if isinstance(rule.type, T.DoubleType):
