@@ -93,37 +93,39 @@ def test_neighbour_counts_and_core_points(limited, sets, limits, sizes):
     assert {(r.traj_id, r.ord) for r in core_points(limited, **sizes).collect()} == core
 
 
-def _cluster(spark, points, eps_space, eps_time, min_pts):
-    df = with_search_limits(frame(spark, {1: points}), eps_space, eps_time, min_pts)
-    return [r.cluster_id for r in st_dbscan(df, None).orderBy("ord").collect()]
-
-
 def _meridian(*offsets):
     return [(37 + m * METRE, 127.0, 0.0) for m in offsets]
 
 
-def test_contested_border_follows_the_later_seed(spark):
-    got = _cluster(spark, _meridian(0, 0, 0, 0, 50, 140, 230, 280, 280, 280, 280), 100, 10, 5)
-    assert got == [1] * 5 + [2] + [2] * 5
-
-
-def test_contested_border_stays_if_the_seed_is_far(spark):
-    got = _cluster(spark, _meridian(0, 0, 0, 0, 50, 140, 280, 230, 280, 280, 280), 100, 10, 5)
-    assert got == [1] * 5 + [1] + [2] * 5
-
-
-def test_whole_seconds_and_inclusive_distance(spark):
-    p, q = (37.0, 127.0, 0.0), (37.0 + 30 * METRE, 127.0, 10.9)
-    assert _cluster(spark, [p, q], metres(p, q), 10, 2) == [1, 1]
-    assert _cluster(spark, [p, q], math.nextafter(metres(p, q), 0), 10, 2) == [0, 0]
-    assert _cluster(spark, [p, (*q[:2], 11.0)], metres(p, q), 10, 2) == [0, 0]
-
-
-def test_seam_pole_and_equal_points(spark):
-    assert _cluster(spark, [(0, 179.9999, 0), (0, -179.9999, 1)], 30, 5, 2) == [1, 1]
-    assert _cluster(spark, [(89.9999, 0, 0), (89.9999, 180, 1)], 30, 5, 2) == [1, 1]
-    assert _cluster(spark, [(1, 1, 0), (1, 1, 0), (1, 1.1, 0)], 1e-9, 5, 2) == [1, 1, 0]
-    assert _cluster(spark, [(0, 0, 0), (0, 180, 0), (45, 90, 0)], 3e7, 5, 3) == [1, 1, 1]
+_P, _Q = (37.0, 127.0, 0.0), (37.0 + 30 * METRE, 127.0, 10.9)
+_APART = metres(_P, _Q)
+# name -> points, eps_space, eps_time, min_pts, labels
+CASES = {
+    "border goes to the later seed next to it": (
+        _meridian(0, 0, 0, 0, 50, 140, 230, 280, 280, 280, 280), 100, 10, 5, [1] * 5 + [2] + [2] * 5
+    ),
+    "border stays if the later seed is far": (
+        _meridian(0, 0, 0, 0, 50, 140, 280, 230, 280, 280, 280), 100, 10, 5, [1] * 5 + [1] + [2] * 5
+    ),
+    "distance inclusive, seconds truncated": ([_P, _Q], _APART, 10, 2, [1, 1]),
+    "a hair too far": ([_P, _Q], math.nextafter(_APART, 0), 10, 2, [0, 0]),
+    "a second too late": ([_P, (*_Q[:2], 11.0)], _APART, 10, 2, [0, 0]),
+    "across 180 degrees": ([(0, 179.9999, 0), (0, -179.9999, 1)], 30, 5, 2, [1, 1]),
+    "across the pole": ([(89.9999, 0, 0), (89.9999, 180, 1)], 30, 5, 2, [1, 1]),
+    "equal points, tiny distance": ([(1, 1, 0), (1, 1, 0), (1, 1.1, 0)], 1e-9, 5, 2, [1, 1, 0]),
+    "the whole earth": ([(0, 0, 0), (0, 180, 0), (45, 90, 0)], 3e7, 5, 3, [1, 1, 1]),
+}
+
+
+def test_hand_cases(spark):
+    parameters = spark.createDataFrame(
+        [(i, float(s), float(t), m) for i, (_, s, t, m, _) in enumerate(CASES.values())],
+        "traj_id long, s double, t double, m long",
+    )
+    df = frame(spark, {i: case[0] for i, case in enumerate(CASES.values())})
+    clustered = st_dbscan(with_search_limits(df, "s", "t", "m", parameters, None), None).orderBy("ord").collect()
+    got = {name: [r.cluster_id for r in clustered if r.traj_id == i] for i, name in enumerate(CASES)}
+    assert got == {name: case[4] for name, case in CASES.items()}
 
 
 @pytest.mark.parametrize("eps_space, eps_time, min_pts", [(0, 1, 1), (1, 0, 1), (1, 1, 0)])
@@ -132,9 +134,10 @@ def test_limits_are_checked(limited, eps_space, eps_time, min_pts):
         with_search_limits(limited, eps_space, eps_time, min_pts)
 
 
-def test_components_of_a_long_chain(spark):
+@pytest.mark.parametrize("group_links", [1000, 2])
+def test_components_of_a_long_chain(spark, group_links):
     edges = [(1, i, i + 1) for i in range(200)] + [(2, 5, 3), (2, 7, 5), (2, 9, 8), (2, 4, 4)]
-    got = connected_components(spark.createDataFrame(edges, "traj_id long, u long, v long"))
+    got = connected_components(spark.createDataFrame(edges, "traj_id long, u long, v long"), group_links)
     want = {(1, i): 0 for i in range(201)} | {(2, 3): 3, (2, 5): 3, (2, 7): 3, (2, 8): 8, (2, 9): 8}
     assert {(r.traj_id, r.node): r.root for r in got.collect()} == want
 

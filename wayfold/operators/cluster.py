@@ -13,7 +13,7 @@ all core and all connected. Single points are looked at in sparse cells only.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import saved
@@ -92,21 +92,7 @@ def st_dbscan(
     """Adds `cluster_id` to points with search limits (see `with_search_limits`)."""
     df = saved(df)
     stages = _Density(df, cell_rows, leaf_rows)
-    rooted = _rooted_cells(stages)
-    clusters = ranked(
-        rooted.select("traj_id", F.col("root").alias("seed")).distinct(),
-        ["traj_id"],
-        [F.col("seed")],
-        "cluster_id",
-        block_rows,
-    )
-    # A cluster of many cells would gather under its seed: number the cells' clusters by
-    # a join that Spark may split, as nothing later relies on its partitioning.
-    cell_cluster = saved(
-        rooted.withColumnRenamed("root", "seed")
-        .join(clusters, ["traj_id", "seed"])
-        .select("traj_id", "no", "seed", F.col("cluster_id").cast("int").alias("cluster_id"))
-    )
+    cell_cluster = saved(_numbered(_rooted_cells(stages), block_rows))
     in_core_cells = cell_cluster.select("traj_id", "no", "cluster_id")
     in_dense = stages.index.points_of(
         stages.index.points.where("dense").select("traj_id", "no", "ord"), in_core_cells
@@ -132,28 +118,41 @@ def _rooted_cells(stages: _Density) -> DataFrame:
     to_sparse = from_core.where(F.col("other").isNotNull()).join(
         core.withColumnRenamed("ord", "other"), ["traj_id", "other"], "left_semi"
     )
-    dense_pairs = _with_corner_contact(stages)
-    edges = stages.sparse_pairs.where("all_near").select("traj_id", "no_a", "no_b")
-    for more in (dense_pairs.where("touch"), from_core.where(F.col("other").isNull()), to_sparse):
+    edges = stages.dense_pairs.unionByName(stages.sparse_pairs).where("all_near").select("traj_id", "no_a", "no_b")
+    open_pairs = stages.dense_pairs.where(~F.col("all_near"))
+    if open_pairs.take(1):
+        tried = _with_corner_contact(stages, open_pairs)
+        edges = edges.unionByName(tried.where("touch").select("traj_id", "no_a", "no_b"))
+        open_pairs = tried.where(~F.col("touch")).drop("touch")
+    else:
+        open_pairs = None
+    for more in (from_core.where(F.col("other").isNull()), to_sparse):
         edges = edges.unionByName(more.select("traj_id", "no_a", "no_b"))
     edges = edges.distinct()
     for end, node in (("no_a", "u"), ("no_b", "v")):
         edges = edges.join(core_cells.withColumnsRenamed({"no": end, "node": node}), ["traj_id", end])
     roots = connected_components(edges.select("traj_id", "u", "v"))
-    rooted = saved(
-        core_cells.join(roots, ["traj_id", "node"], "left").select(
-            "traj_id", "no", F.coalesce("root", "node").alias("root")
-        )
+    rooted = core_cells.join(roots, ["traj_id", "node"], "left").select(
+        "traj_id", "no", F.coalesce("root", "node").alias("root")
     )
-    return _joined_by_points(stages, rooted, dense_pairs.where(~F.col("touch")).drop("touch"))
+    return rooted if open_pairs is None else _joined_by_points(stages, saved(rooted), open_pairs)
 
 
-def _with_corner_contact(stages: _Density) -> DataFrame:
-    """Dense pairs with `touch`: all points are near, or two extreme points are."""
-    open_pairs = stages.dense_pairs.where(~F.col("all_near"))
-    asked = open_pairs.select("traj_id", F.explode(F.array("no_a", "no_b")).alias("no")).distinct()
+def _numbered(rooted: DataFrame, block_rows: int | None) -> DataFrame:
+    """(traj_id, no, seed, cluster_id): clusters counted from 1 in the order of their seeds."""
+    cells = rooted.withColumnRenamed("root", "seed")
+    if block_rows is None:
+        number = F.dense_rank().over(Window.partitionBy("traj_id").orderBy("seed"))
+        return cells.withColumn("cluster_id", number)
+    cells = saved(cells)
+    seeds = ranked(cells.select("traj_id", "seed").distinct(), ["traj_id"], [F.col("seed")], "cluster_id", block_rows)
+    return cells.join(seeds, ["traj_id", "seed"]).withColumn("cluster_id", F.col("cluster_id").cast("int"))
+
+
+def _with_corner_contact(stages: _Density, pairs: DataFrame) -> DataFrame:
+    """Dense pairs with `touch`: whether two of their extreme points are neighbours."""
+    asked = pairs.select("traj_id", F.explode(F.array("no_a", "no_b")).alias("no")).distinct()
     corners = saved(extreme_points(stages.index.points_of(stages.index.points.where("dense"), asked)))
-    pairs = open_pairs
     for end in ("a", "b"):
         pairs = pairs.join(
             corners.withColumnsRenamed({"no": f"no_{end}", "corners": f"corners_{end}"}), ["traj_id", f"no_{end}"]
@@ -164,8 +163,7 @@ def _with_corner_contact(stages: _Density) -> DataFrame:
         return near_points(p.latitude, p.longitude, p.t, q.latitude, q.longitude, q.t, space, time)
 
     any_corner = F.exists(F.col("corners_a"), lambda p: F.exists(F.col("corners_b"), lambda q: contact(p, q)))
-    tried = pairs.withColumn("touch", any_corner).drop("corners_a", "corners_b")
-    return saved(tried.unionByName(stages.dense_pairs.where("all_near").withColumn("touch", F.lit(True))))
+    return saved(pairs.withColumn("touch", any_corner).drop("corners_a", "corners_b"))
 
 
 def _joined_by_points(stages: _Density, rooted: DataFrame, open_pairs: DataFrame) -> DataFrame:

@@ -1,26 +1,69 @@
-"""Connected components by alternating large-star and small-star rounds."""
+"""Connected components of the links inside each trajectory."""
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import saved
 
 MAX_ROUNDS = 100
+# Links of one trajectory that one task may take at once.
+GROUP_LINKS = 200_000
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def connected_components(edges: DataFrame, group_links: int = GROUP_LINKS) -> DataFrame:
     """(traj_id, node, root) for every node of (traj_id, u, v); root is the smallest node.
 
-    Rounds end when each node points straight at its root. Nodes without an edge
-    are not listed.
+    Nodes without an edge are not listed. Trajectories with few links are solved
+    one per task call; longer ones are contracted in rounds of joins, whose tasks
+    never hold a whole trajectory.
     """
     links = saved(
         edges.where(F.col("u") != F.col("v"))
         .select("traj_id", F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         .distinct()
     )
+    counts = links.groupBy("traj_id").agg(F.count(F.lit(1)).alias("_links"))
+    # At most one row per `group_links` links.
+    long = counts.where(F.col("_links") > group_links).select("traj_id")
+    if not long.take(1):
+        return _solved(links)
+    long = F.broadcast(saved(long))
+    return _solved(links.join(long, "traj_id", "left_anti")).unionByName(
+        _contracted(saved(links.join(long, "traj_id", "left_semi")))
+    )
+
+
+def _solved(links: DataFrame) -> DataFrame:
+    schema = T.StructType(
+        [links.schema["traj_id"], T.StructField("node", T.LongType()), T.StructField("root", T.LongType())]
+    )
+    return links.groupBy("traj_id").applyInPandas(_roots, schema)
+
+
+def _roots(links: pd.DataFrame) -> pd.DataFrame:
+    """Roots of one trajectory: labels sink to the smallest node along links and labels."""
+    nodes, ends = np.unique(links[["u", "v"]].to_numpy().T, return_inverse=True)
+    u, v = ends.reshape(2, -1)
+    label = np.arange(len(nodes))
+    while True:
+        lower = np.minimum(label[u], label[v])
+        sunk = label.copy()
+        for at in (u, v, label[u], label[v]):
+            np.minimum.at(sunk, at, lower)
+        sunk = sunk[sunk]
+        if np.array_equal(sunk, label):
+            break
+        label = sunk
+    return pd.DataFrame({"traj_id": links["traj_id"].iloc[0], "node": nodes, "root": nodes[label]})
+
+
+def _contracted(links: DataFrame) -> DataFrame:
+    """Alternating large-star and small-star rounds until each node points at its root."""
     for _ in range(MAX_ROUNDS):
         if _all_stars(links):
             nodes = links.select("traj_id", F.col("u").alias("node"), F.col("v").alias("root"))
