@@ -12,6 +12,7 @@ prove that all pairs, or none, are near enough. Only the rest is tested point by
 from __future__ import annotations
 
 from functools import reduce
+from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -166,34 +167,28 @@ class CellIndex:
         coarse places and 3 time bins at most, each of which holds at most 8 cells,
         however many points these have.
         """
-        reach = F.col("half") * 2
-
-        def coarse(position: Column) -> Column:
-            return F.shiftright(F.floor(position / F.col("half")), 1)
-
-        here = {f"g{a}": F.shiftright(F.col(f"cell.h{a}"), 1) for a in _AXES}
-        keys = ["bin", *here]
-        slim = self.cells.select(
-            "traj_id",
-            F.struct("no", "cell", "rows", "dense", *_BOX, *(c for c in _LIMITS if c != "min_pts")).alias("a"),
-        )
-        probe = slim.select("traj_id", "a", "a.half", *(F.col(f"a.{c}") for c in _BOX), "a.cell")
-        for axis in _AXES:
-            places = F.sequence(coarse(F.col(f"min_{axis}") - reach), coarse(F.col(f"max_{axis}") + reach))
-            probe = probe.withColumn(f"g{axis}", F.explode(places))
+        places = {f"g{a}": F.shiftright(F.col(f"cell.h{a}"), 1) for a in _AXES}
+        keys = ["bin", *places]
+        placed = self.cells.withColumn("bin", F.col("cell.bin")).withColumns(places)
+        # The steps to itself and to half of the places around: each pair is found once.
+        # They are taken by places, not by cells, and carry nothing else along.
+        steps = [s for s in product((0, 1), (-1, 0, 1), (-1, 0, 1), (-1, 0, 1)) if s >= (0, 0, 0, 0)]
+        step = F.array(*(F.struct(*(F.lit(d).alias(k) for k, d in zip(keys, s))) for s in steps))
+        walked = placed.select("traj_id", *keys, "half").distinct().withColumn("step", F.explode(step))
+        walked = walked.withColumns({f"to_{k}": F.col(k) + F.col(f"step.{k}") for k in keys})
         # Places that do not touch the sphere hold no points.
-        centre = sum((F.col(g) + 0.5) * reach * ((F.col(g) + 0.5) * reach) for g in here)
-        probe = probe.where(F.abs(F.sqrt(centre) - EARTH_RADIUS_M) <= reach * 0.9 + 1.0)
-        probe = probe.withColumn("bin", F.explode(F.sequence(F.col("cell.bin"), F.col("cell.bin") + 1)))
-        # Looking one way only finds each pair once.
-        own = F.struct(F.col("cell.bin").alias("bin"), *(c.alias(n) for n, c in here.items()))
-        probe = probe.where(F.struct(*keys) >= own)
-        found = self.cells.select(
-            "traj_id", F.col("cell.bin").alias("bin"), *(c.alias(n) for n, c in here.items()),
-            F.struct("no", "cell", "rows", "dense", *_BOX).alias("b"),
+        side = F.col("half") * 2
+        middle = [(F.col(f"to_{g}") + 0.5) * side for g in places]
+        on_sphere = F.abs(F.sqrt(sum(m * m for m in middle)) - EARTH_RADIUS_M) <= side * 0.9 + 1.0
+        stays = reduce(lambda x, y: x & y, (F.col(f"step.{k}") == 0 for k in keys))
+        walked = walked.where(on_sphere).select("traj_id", *keys, *(f"to_{k}" for k in keys), stays.alias("stays"))
+        shared = ("no", "rows", "dense", *_BOX)
+        there = placed.select("traj_id", *(F.col(k).alias(f"to_{k}") for k in keys), F.struct(*shared).alias("b"))
+        found = walked.join(there, ["traj_id", *(f"to_{k}" for k in keys)]).select("traj_id", *keys, "stays", "b")
+        here = placed.select(
+            "traj_id", *keys, F.struct(*shared, *(c for c in _LIMITS if c != "min_pts")).alias("a")
         )
-        pairs = probe.select("traj_id", *keys, own.alias("own"), "a").join(found, ["traj_id", *keys])
-        pairs = pairs.where((F.struct(*keys) > F.col("own")) | (F.col("b.cell") > F.col("a.cell")))
+        pairs = found.join(here, ["traj_id", *keys]).where(~F.col("stays") | (F.col("b.no") > F.col("a.no")))
 
         def apart(axis: str) -> Column:
             return F.greatest(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -11,7 +13,7 @@ from pyspark.sql import types as T
 from ..session import saved
 
 MAX_ROUNDS = 100
-# Links of one trajectory that one task may take at once.
+# Links of one trajectory that a task may hold at once.
 GROUP_LINKS = 200_000
 
 
@@ -19,8 +21,8 @@ def connected_components(edges: DataFrame, group_links: int = GROUP_LINKS) -> Da
     """(traj_id, node, root) for every node of (traj_id, u, v); root is the smallest node.
 
     Nodes without an edge are not listed. Trajectories with few links are solved
-    one per task call; longer ones are contracted in rounds of joins, whose tasks
-    never hold a whole trajectory.
+    whole, batch by batch; longer ones are contracted in rounds of joins, whose
+    tasks never hold a whole trajectory.
     """
     links = saved(
         edges.where(F.col("u") != F.col("v"))
@@ -42,13 +44,29 @@ def _solved(links: DataFrame) -> DataFrame:
     schema = T.StructType(
         [links.schema["traj_id"], T.StructField("node", T.LongType()), T.StructField("root", T.LongType())]
     )
-    return links.groupBy("traj_id").applyInPandas(_roots, schema)
+    together = links.repartition("traj_id").sortWithinPartitions("traj_id")
+    return together.mapInPandas(_roots_by_batch, schema)
+
+
+def _roots_by_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Solves the trajectories of each batch; the last one waits for the rest of its links."""
+    waiting = None
+    for batch in batches:
+        links = batch if waiting is None else pd.concat([waiting, batch], ignore_index=True)
+        unfinished = links["traj_id"] == links["traj_id"].iloc[-1]
+        waiting = links[unfinished]
+        if not unfinished.all():
+            yield _roots(links[~unfinished])
+    if waiting is not None:
+        yield _roots(waiting)
 
 
 def _roots(links: pd.DataFrame) -> pd.DataFrame:
-    """Roots of one trajectory: labels sink to the smallest node along links and labels."""
-    nodes, ends = np.unique(links[["u", "v"]].to_numpy().T, return_inverse=True)
-    u, v = ends.reshape(2, -1)
+    """Labels sink to the smallest node of a trajectory, along links and along labels."""
+    ends = pd.concat([links[["traj_id", end]].set_axis(["traj_id", "node"], axis=1) for end in ("u", "v")])
+    groups = ends.groupby(["traj_id", "node"])
+    u, v = groups.ngroup().to_numpy().reshape(2, -1)
+    nodes = groups.size().index.to_frame(index=False)
     label = np.arange(len(nodes))
     while True:
         lower = np.minimum(label[u], label[v])
@@ -59,7 +77,7 @@ def _roots(links: pd.DataFrame) -> pd.DataFrame:
         if np.array_equal(sunk, label):
             break
         label = sunk
-    return pd.DataFrame({"traj_id": links["traj_id"].iloc[0], "node": nodes, "root": nodes[label]})
+    return nodes.assign(root=nodes["node"].to_numpy()[label])
 
 
 def _contracted(links: DataFrame) -> DataFrame:
