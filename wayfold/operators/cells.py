@@ -347,7 +347,7 @@ def both_ways(pairs: DataFrame) -> DataFrame:
 
 def neighbour_counts(df: DataFrame, cell_rows: int = CELL_ROWS, leaf_rows: int = LEAF_ROWS) -> DataFrame:
     """(traj_id, ord, neighbours) for points with search limits; a point counts itself."""
-    index = CellIndex(df, cell_rows, leaf_rows)
+    index = CellIndex(saved(df), cell_rows, leaf_rows)
     pairs = both_ways(saved(index.adjacent()))
     whole = pairs.where("all_near").groupBy("traj_id", F.col("no_a").alias("no")).agg(F.sum("rows_b").alias("_whole"))
     per_cell = index.cells.select("traj_id", "no", "rows").join(whole, ["traj_id", "no"], "left")

@@ -78,7 +78,7 @@ class _Density:
 
 def core_points(df: DataFrame, cell_rows: int = CELL_ROWS, leaf_rows: int = LEAF_ROWS) -> DataFrame:
     """(traj_id, ord) of the core points; `df` has search limits."""
-    stages = _Density(df, cell_rows, leaf_rows)
+    stages = _Density(saved(df), cell_rows, leaf_rows)
     dense = stages.index.points.where("dense").select("traj_id", "ord")
     return dense.unionByName(stages.sparse.where("core").select("traj_id", "ord"))
 

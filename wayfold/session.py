@@ -17,8 +17,9 @@ def local_session(cpus: str = "*", name: str = "wayfold") -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
-        # Saved tables are small here: let their files keep all cores busy.
+        # Tables are small here: let their files and shuffles keep all cores busy.
         .config("spark.sql.files.openCostInBytes", "131072")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

@@ -25,12 +25,17 @@ def parse_documents(texts: DataFrame, schema: str) -> DataFrame:
     return texts.select("traj_id", parsed.alias("_d")).select("traj_id", "_d.*")
 
 
-def raw_positions(documents: DataFrame, strict: bool = True) -> DataFrame:
-    """Signals with a position; others are skipped."""
-    signal = documents.select("traj_id", F.explode("rawSignals").alias("signal"))
-    position = signal.where(F.col("signal.position").isNotNull()).select("traj_id", "signal.position.*")
+def raw_positions(documents: DataFrame, strict: bool = True, point_ids: bool = False) -> DataFrame:
+    """Signals with a position; others are skipped.
+
+    With `point_ids`, adds the place of each signal in its document, which orders rows of
+    equal time, or all rows if file order is wanted.
+    """
+    signal = documents.select("traj_id", F.posexplode("rawSignals").alias("place", "signal"))
+    position = signal.where(F.col("signal.position").isNotNull()).select("traj_id", "place", "signal.position.*")
     return position.select(
         "traj_id",
+        *([F.col("place").cast("long").alias("point_id")] if point_ids else []),
         coordinate(F.col("LatLng"), 0, strict).alias("latitude"),
         coordinate(F.col("LatLng"), 1, strict).alias("longitude"),
         F.col("accuracyMeters").alias("accuracy"),
