@@ -6,8 +6,6 @@ anything is sorted or shuffled by order.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
