@@ -9,9 +9,12 @@ costs as many rows as the segment has shingles), with one exception: segments th
 because they are empty or because a sample shows them to be frequent, are left out by the
 probing set, which then searches the one-deletion neighbourhood of as many designated segments.
 
-Sets that share a row are not paired with each other but with one leader of the row. What is
-not connected to the leader's component ("strays") is compared with the rest of its row, as far
-as the distances to the leader (a metric) leave it open. So copies cost as many pairs as rows.
+Sets that share a row are not paired with each other but with one leader of the row, so copies
+cost as many pairs as rows. Rows whose sets are then still in several components are searched in
+blocks by sketches: one bit for the parity of the shingles in each of some buckets. Two sets differ
+in at least as many shingles as their sketches in bits, so most pairs are settled without a text:
+first each set names its nearest one in another component, then all that may link are named. Every
+pair that may link is counted exactly, on the texts.
 """
 
 from __future__ import annotations
@@ -39,8 +42,10 @@ PARTS = 32
 BROADCAST_IDS = 2_000_000
 # Texts compared with a leader in one group.
 GROUP = 256
-# Strays of a row that serve as further leaders in the first round; four times as many in each next.
-PIVOTS = 8
+# Sets of a row compared with each other in one block.
+BLOCK = 512
+# Bits of a sketch per shingle, rounded up to a power of two in all.
+SKETCH_BITS = 4
 
 _PLANTED, _INDEX, _BOTH, _PROBE = 0, 1, 2, 3
 
@@ -315,52 +320,158 @@ def _only(sets: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     return sets.join(F.broadcast(ids) if small else ids, "doc_id", how)
 
 
+def sketches(sets: DataFrame, plan: Plan) -> DataFrame:
+    """(node, n, bits): the number of shingles and the parity sketch of each text."""
+
+    def of(batches):
+        for batch in batches:
+            nodes = batch.column("doc_id")
+            for first, values, begin in _sets(batch, plan.words):
+                sizes = np.diff(begin)
+                found = []
+                for a, b in zip(begin[:-1].tolist(), begin[1:].tolist()):
+                    length = 1 << max(6, int(SKETCH_BITS * (b - a) - 1).bit_length())
+                    counts = np.bincount((values[a:b] & _U(length - 1)).astype(np.int64), minlength=length)
+                    found.append(np.packbits((counts & 1).astype(np.uint8)).tobytes())
+                yield pa.RecordBatch.from_arrays(
+                    [nodes.slice(first, len(sizes)), pa.array(sizes), pa.array(found, pa.binary())], ["node", "n", "bits"]
+                )
+
+    return sets.select("doc_id", "text").mapInArrow(of, "node long, n long, bits binary")
+
+
+def _folded(bits: np.ndarray, length: int) -> np.ndarray:
+    while len(bits) > length:
+        bits = bits[: len(bits) // 2] ^ bits[len(bits) // 2 :]
+    return bits
+
+
+def _may_link(pairs: DataFrame, known: DataFrame, plan: Plan) -> DataFrame:
+    """The pairs (node, leader) whose sketches and sizes leave a link open."""
+
+    def side(name):
+        return known.select(*(F.col(c).alias(c if c == name else f"{name}_{c}") if c != "node" else F.col(c).alias(name) for c in known.columns))
+
+    def of(batches):
+        for batch in batches:
+            keep = []
+            for n, m, x, y in zip(*(batch.column(c).to_pylist() for c in ("node_n", "leader_n", "node_bits", "leader_bits"))):
+                length = min(len(x), len(y))
+                x, y = (_folded(np.frombuffer(v, np.uint8), length) for v in (x, y))
+                differ = int(np.bitwise_count(x ^ y).sum())
+                keep.append(
+                    differ * (plan.den + plan.num) <= (n + m) * (plan.den - plan.num)
+                    and min(n, m) * plan.den >= max(n, m) * plan.num
+                )
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c).filter(pa.array(keep)) for c in ("node", "leader")], ["node", "leader"]
+            )
+
+    both = pairs.select("node", "leader").distinct().join(side("node"), "node").join(side("leader"), "leader")
+    return both.mapInArrow(of, "node long, leader long")
+
+
+def _open_pairs(rows: DataFrame, plan: Plan, nearest: bool) -> DataFrame:
+    """(node, leader): pairs in a row (key), of different parts, that sketches leave open.
+
+    With `nearest`, each set names only its nearest one. `rows` are (key, node, part, n, bits). Rows
+    are compared in blocks: each block of a key meets each other block of it in a task of its own.
+    """
+    counts = rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = (
+        rows.join(counts, "key")
+        .withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(
+            "key", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own", "node", "part", "n", "bits"
+        )
+    )
+
+    def of(batches):
+        key, held = None, []
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("key", "a", "b", "own", "node", "part", "n", "bits")]
+            found = []
+            for k, a, b, *rest in zip(*columns):
+                if (k, a, b) != key:
+                    found += _compared_block(key, held, plan, nearest)
+                    key, held = (k, a, b), []
+                held.append(rest)
+            if found:
+                yield _pairs(found)
+        found = _compared_block(key, held, plan, nearest)
+        if found:
+            yield _pairs(found)
+
+    together = dealt.repartition("key", "a", "b").sortWithinPartitions("key", "a", "b", "node")
+    return together.mapInArrow(of, "node long, leader long").distinct()
+
+
+def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    low, high = np.sort(np.array(found, np.int64), axis=1).T
+    return pa.RecordBatch.from_arrays([pa.array(high), pa.array(low)], ["node", "leader"])
+
+
+def _compared_block(key, held: list, plan: Plan, nearest: bool) -> list[tuple[int, int]]:
+    """Open pairs of a block (own blocks a = b) or between two."""
+    if len(held) < 2:
+        return []
+    own, node, part, n, bits = zip(*held)
+    own, node, part, n = (np.array(x, np.int64) for x in (own, node, part, n))
+    if (part == part[0]).all():
+        return []
+    left = np.flatnonzero(own == key[1])
+    right = np.flatnonzero(own == key[2]) if key[1] != key[2] else left
+    if not len(left) or not len(right):
+        return []
+    length = min(map(len, bits))
+    sides = np.stack([_folded(np.frombuffer(x, np.uint8), length) for x in bits])
+    alike = np.zeros((len(left), len(right)), np.float32)
+    for c in range(0, length, 512):
+        signs = 1 - 2 * np.unpackbits(sides[:, c : c + 512], axis=1).astype(np.float32)
+        alike += signs[left] @ signs[right].T
+    differ = (8 * length - alike) / 2
+    total = n[left][:, None] + n[right][None, :]
+    smaller = np.minimum(n[left][:, None], n[right][None, :])
+    open_pair = (
+        (differ * (plan.den + plan.num) <= total * (plan.den - plan.num))
+        & (smaller * plan.den >= (total - smaller) * plan.num)
+        & (part[left][:, None] != part[right][None, :])
+    )
+    if nearest:
+        differ[~open_pair] = np.inf
+        i, j = np.arange(len(left)), differ.argmin(axis=1)
+        if len(right) and key[1] != key[2]:
+            i, j = np.concatenate([i, differ.argmin(axis=0)]), np.concatenate([j, np.arange(len(right))])
+        some = open_pair[i, j]
+        i, j = i[some], j[some]
+    else:
+        i, j = np.nonzero(open_pair)
+    return list(zip(node[left][i].tolist(), node[right][j].tolist()))
+
+
 def connected(sets: DataFrame, plan: Plan, rows: int) -> DataFrame:
     """(node, root): the components of different sets; sets without links are not listed."""
     linked = F.col("both") * plan.den >= F.col("either") * plan.num
-    away = 1 - F.col("both") / F.col("either")
-    reach = 1 - plan.num / plan.den + 1e-9
     shared = saved(shared_rows(signatures(sets, plan, _frequent(sets, plan, rows))))
-    scored = saved(compared(shared, sets, plan))
-    found = scored.where(linked).select("node", "leader")
-    open_rows = shared.join(
-        scored.select("node", "leader", away.alias("away")), ["node", "leader"]
+    members = saved(
+        shared.select("key", "node").union(shared.select("key", F.col("leader").alias("node"))).distinct()
     )
-    pivots = PIVOTS
-    while True:
-        part_of = components(found)
-        rows_now = _labelled(_labelled(open_rows, part_of, "node", "part"), part_of, "leader", "leader_part")
-        rows_now = rows_now.withColumn("stray", F.col("part") != F.col("leader_part"))
-        astray = rows_now.where("stray").groupBy("key").agg(F.count(F.lit(1)).alias("strays"))
-        open_rows = saved(rows_now.join(astray, "key").drop("strays"))
-        if not open_rows.take(1):
-            return part_of
-        chosen = open_rows.where("stray").withColumn(
-            "turn", F.pmod(F.xxhash64("node", "key"), F.lit(1 << 30))
-        )
-        counted = chosen.groupBy("key").agg(F.count(F.lit(1)).alias("strays"))
-        # About `pivots` strays of each row, all of them where there are few.
-        chosen = saved(
-            chosen.join(counted, "key")
-            .where(F.col("turn") < F.lit(float(pivots) * (1 << 30)) / F.col("strays"))
-            .select("key", F.col("node").alias("pivot"), F.col("part").alias("pivot_part"),
-                    F.col("away").alias("pivot_away"), F.col("role").alias("pivot_role"))
-        )
-        asked = open_rows.join(chosen, "key").where(
-            (F.col("part") != F.col("pivot_part"))
-            & (F.abs(F.col("away") - F.col("pivot_away")) <= reach)
-            & ((F.col("role") != _PROBE) | (F.col("pivot_role") != _PROBE))
-            & ((F.col("role") > _INDEX) | (F.col("pivot_role") > _INDEX))
-        )
-        asked = asked.select(
-            F.greatest("node", "pivot").alias("node"), F.least("node", "pivot").alias("leader")
-        ).distinct()
-        more = saved(compared(asked.select("node", "leader"), sets, plan).where(linked).select("node", "leader"))
+    wanted = saved(members.select(F.col("node").alias("doc_id")).distinct())
+    known = saved(sketches(_only(sets, wanted, "left_semi"), plan))
+
+    found = saved(compared(_may_link(shared, known, plan), sets, plan).where(linked).select("node", "leader"))
+    part_of = components(found)
+    for nearest in (True, False):
+        labelled = _labelled(members, part_of, "node", "part")
+        several = labelled.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
+        open_rows = labelled.join(several.select("key"), "key").join(known, "node")
+        asked = _open_pairs(open_rows, plan, nearest)
+        more = saved(compared(asked, sets, plan).where(linked).select("node", "leader"))
         found = found.unionByName(more)
-        open_rows = open_rows.select("key", "node", "leader", "role", "away").join(
-            chosen.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti"
-        )
-        pivots *= 4
+        part_of = components(found)
+    return part_of
 
 
 def _labelled(rows: DataFrame, part_of: DataFrame, node: str, label: str) -> DataFrame:
@@ -381,7 +492,6 @@ def jaccard_components(documents: DataFrame, plan: Plan = Plan()) -> DataFrame:
     prints = saved(fingerprints(documents, plan))
     full = prints.where("n_shingles > 0")
     classes = saved(full.groupBy("fp1", "fp2", "n_shingles").agg(F.min("doc_id").alias("class_id")))
-    first = classes.where("class_id is not null").select(F.col("class_id").alias("doc_id"))
     _, most = plan.bands()
     low = int(plan.bands()[0][np.flatnonzero(most)[0]])
     # Copies, and sets so small that only equal ones link, need no search.
@@ -389,7 +499,7 @@ def jaccard_components(documents: DataFrame, plan: Plan = Plan()) -> DataFrame:
         classes.where(F.col("n_shingles") >= low).select(F.col("class_id").alias("doc_id")), "doc_id", "left_anti"
     ).select("doc_id").where("doc_id is not null").distinct()
     no_search = saved(no_search)
-    rows = first.count()
+    rows = classes.count()
     sets = _only(documents.where("doc_id is not null"), no_search, "left_anti")
     part_of = connected(sets, plan, rows)
     known = _labelled(classes, part_of, "class_id", "component_id")

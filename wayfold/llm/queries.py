@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, ngram_join, quality_rules
+from . import decontaminate, language_id, ngram_join, packing, quality_rules, token_scan
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,10 +54,29 @@ def op6_quality_rules(spark, folder):
     )
 
 
+def op8_token_counts(spark, folder):
+    return token_scan.document_token_counts(_table(spark, folder, "documents"))
+
+
+def op9_best_fit_packing(spark, folder):
+    return packing.packed(_table(spark, folder, "documents"))
+
+
+def op10_language_id(spark, folder):
+    docs = _table(spark, folder, "documents")
+    held_out = language_id.held_out(F.col("doc_id"))
+    model = language_id.fit(docs.where(~held_out).select("doc_id", "text", "lang"))
+    found = language_id.predicted(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_join": op1_ngram_join,
     "op3_decontamination": op3_decontamination,
     "op6_quality_rules": op6_quality_rules,
+    "op8_token_counts": op8_token_counts,
+    "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_language_id": op10_language_id,
 }
 
 _OP3 = r"""
@@ -90,7 +109,7 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN items USING (doc_id)
 _OP6 = r"""
 WITH d AS (
   SELECT doc_id, text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
-    list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM documents),
 i AS (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8),
 win AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(w[i:i + 7], ' ')) AS n FROM i),
