@@ -8,7 +8,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, ngram_join, packing, quality_rules, token_scan
+from . import (
+    decontaminate,
+    language_id,
+    license_scan,
+    ngram_join,
+    ordinal_quality,
+    packing,
+    quality_rules,
+    token_scan,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +33,13 @@ def op1_ngram_join(spark, folder):
     return out.select("doc_id", "n_shingles", "component_id", "class_id")
 
 
+def op2_toxicity(spark, folder):
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    labels = labels.select("doc_id", (1 - F.col("quality")).alias("poor"), "toxic")
+    chain = toxicity.fit(docs, labels, ["poor", "toxic"])
+    return toxicity.scored(docs.select("doc_id", "text"), chain).select("doc_id", "p_poor", "p_toxic", F.col("is_toxic").alias("toxic"))
+
+
 def op3_decontamination(spark, folder):
     found = decontaminate.hits(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"), 10)
     hit = decontaminate.n_hit(F.col("spans"))
@@ -36,6 +53,12 @@ def op3_decontamination(spark, folder):
     )
 
 
+def op4_quality_classifier(spark, folder):
+    docs = _table(spark, folder, "documents")
+    model = ordinal_quality.fit(docs, ordinal_quality.grades(_table(spark, folder, "labels")))
+    return ordinal_quality.graded(docs.select("doc_id", "text"), model).drop("text")
+
+
 def op6_quality_rules(spark, folder):
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     order = [rule for rule, _, _ in quality_rules.ordered_rules(docs)]
@@ -54,6 +77,10 @@ def op6_quality_rules(spark, folder):
     )
 
 
+def op7_license_scan(spark, folder):
+    return license_scan.licenses(_table(spark, folder, "documents"))
+
+
 def op8_token_counts(spark, folder):
     return token_scan.document_token_counts(_table(spark, folder, "documents"))
 
@@ -72,8 +99,11 @@ def op10_language_id(spark, folder):
 
 QUERIES: dict[str, Query] = {
     "op1_ngram_join": op1_ngram_join,
+    "op2_toxicity": op2_toxicity,
     "op3_decontamination": op3_decontamination,
+    "op4_quality_classifier": op4_quality_classifier,
     "op6_quality_rules": op6_quality_rules,
+    "op7_license_scan": op7_license_scan,
     "op8_token_counts": op8_token_counts,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_language_id": op10_language_id,
