@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import (
     decontaminate,
+    html_main,
     language_id,
     license_scan,
     ngram_join,
@@ -59,6 +60,11 @@ def op4_quality_classifier(spark, folder):
     return ordinal_quality.graded(docs.select("doc_id", "text"), model).drop("text")
 
 
+def op5_html_extraction(spark, folder):
+    pages = _table(spark, folder, "pages")
+    return html_main.extracted(pages, html_main.fit(pages))
+
+
 def op6_quality_rules(spark, folder):
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     order = [rule for rule, _, _ in quality_rules.ordered_rules(docs)]
@@ -102,6 +108,7 @@ QUERIES: dict[str, Query] = {
     "op2_toxicity": op2_toxicity,
     "op3_decontamination": op3_decontamination,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_html_extraction": op5_html_extraction,
     "op6_quality_rules": op6_quality_rules,
     "op7_license_scan": op7_license_scan,
     "op8_token_counts": op8_token_counts,
