@@ -218,7 +218,7 @@ def _frequent(sets: DataFrame, plan: Plan, rows: int) -> dict[int, int]:
 
 
 def shared_rows(rows: DataFrame) -> DataFrame:
-    """(key, node, leader, role) of the rows that several sets share and one of them probes."""
+    """(key, node, leader) of the rows that several sets share and one of them probes."""
 
     def of(batches):
         key = leader = last = None
@@ -250,19 +250,16 @@ def shared_rows(rows: DataFrame) -> DataFrame:
                     if len(waiting) < 4096:
                         continue
                 else:
-                    out.append((k, node, leader, role))
-                out += [(k, x, leader, _INDEX) for x in waiting]
+                    out.append((k, node, leader))
+                out += [(k, x, leader) for x in waiting]
                 waiting = []
             if out:
-                columns = zip(*out)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.int32()))],
-                    ["key", "node", "leader", "role"],
-                )
+                columns = [pa.array(c, pa.int64()) for c in zip(*out)]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "node", "leader"])
 
     part = F.shiftright("tag", 2)
     together = rows.repartition("key", part).sortWithinPartitions("key", "tag", "node")
-    return together.mapInArrow(of, "key long, node long, leader long, role int")
+    return together.mapInArrow(of, "key long, node long, leader long")
 
 
 def compared(pairs: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
@@ -513,8 +510,17 @@ def jaccard_components(documents: DataFrame, plan: Plan = Plan()) -> DataFrame:
 
 
 def one_of_each(documents: DataFrame, plan: Plan = Plan()) -> DataFrame:
-    """The rows of `documents` (all columns) that are the first of their component; repeats of them go too."""
-    groups = jaccard_components(documents, plan).where("doc_id <> component_id").select("doc_id").distinct()
-    small = saved(groups)
-    kept = _only(documents, small, "left_anti")
-    return kept
+    """The rows of `documents`, with all columns, that are the first of their component.
+
+    Of rows that repeat a doc_id and its text one stays. Rows without doc_id all stay.
+    """
+    found = saved(jaccard_components(documents, plan))
+    gone = saved(found.where("doc_id <> component_id").select("doc_id").distinct())
+    kept = _only(documents, gone, "left_anti")
+    again = saved(
+        found.where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
+    )
+    if not again.take(1):
+        return kept
+    repeated = _only(kept, again, "left_semi").dropDuplicates(["doc_id", "text"])
+    return _only(kept, again, "left_anti").unionByName(repeated)
