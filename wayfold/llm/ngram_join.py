@@ -45,7 +45,7 @@ GROUP = 256
 # Sets of a row compared with each other in one block.
 BLOCK = 512
 # Bits of a sketch per shingle, rounded up to a power of two in all.
-SKETCH_BITS = 4
+SKETCH_BITS = 2
 
 _PLANTED, _INDEX, _BOTH, _PROBE = 0, 1, 2, 3
 
