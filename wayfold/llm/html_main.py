@@ -8,12 +8,14 @@ ancestor was left out for good, so an article cannot hold a menu's parts, nor a
 
 The trees learn from a bounded sample of pages, whose elements are labelled by their mark-up:
 inside an article or main element, and not inside an element of a fixed list of tags and names.
+Each page is also used in a varied form, with notices, adverts and the like inside its article.
 """
 
 from __future__ import annotations
 
 import html
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -55,6 +57,17 @@ NAMES_OUT = re.compile(
     r"related|newsletter|subscribe|signup|login|search|pagination|widget)([-_ ]|$)"
 )
 
+# Names that mark the article where no element does.
+NAMES_IN = re.compile(r"(^|[-_ ])(article|main|content|post|entry|story|body)([-_ ]|$)")
+# What pages carry beside an article; the trees meet it within articles too.
+ADDED = (
+    '<div class="ad">{}</div>', '<div class="banner promo">{}</div>', '<aside><p>{}</p></aside>',
+    '<div class="cookie-notice"><p>{}</p></div>', '<form><p>{}</p><input type="text"></form>',
+    '<div class="share social"><a href="#">{}</a></div>', '<div id="comments"><p>{}</p></div>',
+    '<nav><ul><li><a href="/">{}</a></li></ul></nav>', '<ul class="related"><li><a href="/">{}</a></li></ul>',
+    '<div class="sidebar"><p>{}</p></div>', '<p class="newsletter subscribe">{}</p>',
+)
+
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(?:!|\?)[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _SPACE = re.compile(r"[ \t\n\r\f\v  -     　 \u0085]+")
@@ -167,7 +180,7 @@ def measured(nodes: list[Node]) -> np.ndarray:
     for i, n in enumerate(nodes):
         if n.parent >= 0:
             inherited[i] = inherited[n.parent]
-        inherited[i, 0] += n.tag in ("article", "main") or "main" in n.names.split() or "article" in n.names.split()
+        inherited[i, 0] += n.tag in ("article", "main") or bool(n.names) and bool(NAMES_IN.search(n.names))
         inherited[i, 1] += n.tag in NEVER or n.tag == "header" and not inherited[i, 0]
         inherited[i, 2] += _names_out(n.names)
     return np.column_stack([rows, inherited])
@@ -197,6 +210,22 @@ def labelled(nodes: list[Node], rows: np.ndarray) -> np.ndarray:
     return inside & ~tags & ~names
 
 
+def varied(page: str) -> str:
+    """A page with some of ADDED among its paragraphs, and often another element for its article."""
+    rng = np.random.default_rng(zlib.crc32(page.encode()))
+    parts = re.split(r"(</p>)", page)
+    for _ in range(int(rng.integers(1, 4))):
+        at = int(rng.integers(len(parts)))
+        if parts[at] == "</p>":
+            words = re.sub(r"<[^>]*>|[<>]", " ", parts[at - 1])[-int(rng.integers(10, 300)) :]
+            parts[at] += ADDED[int(rng.integers(len(ADDED)))].format(words)
+    page = "".join(parts)
+    if rng.random() < 0.5:
+        name = ('main', 'div class="post-content"', 'div id="main"', 'section class="story"')[int(rng.integers(4))]
+        page = page.replace("<article>", f"<{name}>").replace("</article>", f"</{name.split()[0]}>")
+    return page
+
+
 @dataclass
 class Trees:
     """Boosted regression trees as arrays; a node's children are 2 i + 1 and 2 i + 2."""
@@ -323,8 +352,8 @@ def fit(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> Trees | None:
     def of(batches):
         for batch in batches:
             rows, labels = [], []
-            for value in batch.column("html"):
-                nodes = parsed(value.as_py())
+            for page in (p for value in batch.column("html") for p in (value.as_py(), varied(value.as_py()))):
+                nodes = parsed(page)
                 own = measured(nodes)
                 # Long pages teach as much as short ones: every k-th element, about 60 in all.
                 keep = slice(None, None, max(1, len(nodes) // 60))

@@ -55,15 +55,16 @@ class Run:
     ends: np.ndarray
     number: np.ndarray
 
-    def hashes(self) -> np.ndarray:
-        """64-bit hashes of the words, with A-Z lowered."""
+    def hashes(self, longest: int | None = None) -> np.ndarray:
+        """64-bit hashes of the words, or of their first `longest` bytes, with A-Z lowered."""
         n = len(self.data)
+        ends = self.ends if longest is None else np.minimum(self.ends, self.starts + longest)
         power = np.cumprod(np.full(n + 1, _MULTIPLIER))
         upto = np.zeros(n + 1, np.uint64)
         np.cumsum(_VALUES[self.data] * power[:n], out=upto[1:])
         # power[i] is the multiplier to the power i + 1: divide it out.
         back = np.cumprod(np.full(n + 1, _BACK))
-        return mix((upto[self.ends] - upto[self.starts]) * back[self.starts] + (self.ends - self.starts).astype(np.uint64))
+        return mix((upto[ends] - upto[self.starts]) * back[self.starts] + (ends - self.starts).astype(np.uint64))
 
 
 def runs(column: pa.Array, inside: np.ndarray = NOT_SPACE, run_bytes: int = RUN_BYTES) -> Iterator[Run]:
