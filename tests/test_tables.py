@@ -218,7 +218,8 @@ def test_short_and_still_trajectories_are_reported(spark):
     result = pipeline.run_pipeline(df, block_rows=None)
     status = {r.traj_id: r.status for r in pipeline.summarize(result).collect()}
     assert status == {1: pipeline.TOO_SHORT, 2: pipeline.TOO_SHORT, 3: pipeline.EPS_NOT_POSITIVE, 4: pipeline.USABLE}
-    assert {r.traj_id for r in result.clustered.select("traj_id").distinct().collect()} == {4}
+    kept = result.clustered.groupBy("traj_id", "status").agg(F.count("cluster_id").alias("labelled"))
+    assert {r.traj_id: (r.status, r.labelled > 0) for r in kept.collect()} == {t: (s, t == 4) for t, s in status.items()}
 
 
 def test_k_must_be_positive(spark):

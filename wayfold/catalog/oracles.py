@@ -143,10 +143,10 @@ _BASE = {
             FROM pos WINDOW w AS (PARTITION BY traj_id ORDER BY ord))
       WHERE ord%12=0 AND nt IS NOT NULL""",
     "pth": "SELECT traj_id, point_id, ord, latitude, longitude, timestamp FROM pos WHERE ord%3=1",
-    "lay": """SELECT traj_id, 'Raw GPS' AS label, latitude, longitude, timestamp FROM pos
-      UNION ALL SELECT traj_id, 'Timeline Path', latitude, longitude, timestamp FROM pth
-      UNION ALL SELECT traj_id, 'Visit', latitude, longitude, NULL FROM vis
-      UNION ALL SELECT traj_id, 'Activity', start_latitude, start_longitude, NULL FROM act""",
+    "lay": """SELECT traj_id, 'positions' AS label, latitude, longitude, timestamp FROM pos
+      UNION ALL SELECT traj_id, 'paths', latitude, longitude, timestamp FROM pth
+      UNION ALL SELECT traj_id, 'visits', latitude, longitude, NULL FROM vis
+      UNION ALL SELECT traj_id, 'activities', start_latitude, start_longitude, NULL FROM act""",
     "bad": """SELECT traj_id, point_id,
       CASE WHEN point_id%97=5 THEN latitude+100 WHEN point_id%101=7 THEN 'nan'::DOUBLE
            WHEN point_id%103=9 THEN NULL ELSE latitude END AS latitude,
@@ -301,6 +301,11 @@ _SELECTS = {
     "extract_counts": """SELECT 'raw_positions' AS table_name, count(*) AS row_count FROM pos
       UNION ALL SELECT 'timeline_paths', count(*) FROM pth UNION ALL SELECT 'visits', count(*) FROM vis
       UNION ALL SELECT 'activities', count(*) FROM act""",
+    "rejected_documents": """SELECT traj_id, 'read' AS what, count(*) AS n FROM pos WHERE traj_id%5 NOT IN (1, 3) GROUP BY traj_id
+      UNION ALL SELECT traj_id, CASE WHEN traj_id%5=1 THEN 'not a JSON document' ELSE 'a field of the wrong type' END,
+      count(DISTINCT (ord-1)//12) FROM pos WHERE traj_id%5 IN (1, 3) GROUP BY traj_id""",
+    "stored_clusters": f"""SELECT traj_id, {_us("timestamp")}, cluster_id FROM p_label WHERE traj_id%10 <> 0
+      UNION ALL SELECT traj_id, {_us("timestamp")}, NULL FROM pos WHERE traj_id%10 = 0 AND ord <= 2""",
     "parse_latlng": """SELECT point_id, CASE WHEN point_id%4 < 3 THEN round(latitude,7) END AS latitude,
       CASE WHEN point_id%4 <> 2 THEN round(longitude,7) END AS longitude FROM pos""",
     "parse_timestamp": "SELECT point_id, CASE WHEN point_id%3=0 THEN epoch_us(timestamp)//1000*1000 END AS timestamp_us FROM ev",
@@ -324,7 +329,8 @@ _SELECTS = {
     "animation_frames": f"SELECT DISTINCT traj_id, {_us('timestamp')} FROM lay WHERE timestamp IS NOT NULL",
     "visible_counts": f"""SELECT f.traj_id, {_us('f.timestamp', 'timestamp_us')}, n.label,
       (SELECT count(*) FROM lay l WHERE l.traj_id=f.traj_id AND l.label=n.label
-        AND (l.timestamp IS NULL OR l.timestamp <= f.timestamp)) AS visible
+        AND (l.timestamp <= f.timestamp OR l.timestamp IS NULL AND NOT EXISTS (SELECT 1 FROM lay m
+          WHERE m.traj_id=l.traj_id AND m.label=l.label AND m.timestamp IS NOT NULL))) AS visible
       FROM (SELECT DISTINCT traj_id, timestamp FROM lay WHERE timestamp IS NOT NULL) f
       JOIN (SELECT DISTINCT label FROM lay) n ON true""",
     "visible_counts_by_index": """SELECT traj_id, frame, label, least(frame+1, height) AS visible FROM (
@@ -333,10 +339,10 @@ _SELECTS = {
     "raw_vs_timeline": f"""SELECT traj_id, label, count(*) AS points, round(min(latitude),6) AS min_latitude,
       round(max(latitude),6) AS max_latitude, round(min(longitude),6) AS min_longitude,
       round(max(longitude),6) AS max_longitude FROM (
-        SELECT traj_id, 'Raw GPS' AS label, latitude, longitude FROM pos WHERE {_POINT}
-        UNION ALL SELECT traj_id, 'Timeline Path', latitude, longitude FROM pth WHERE {_POINT}
-        UNION ALL SELECT traj_id, 'Visit', latitude, longitude FROM vis WHERE {_INTERVAL}
-        UNION ALL SELECT traj_id, 'Activity', start_latitude, start_longitude FROM act WHERE {_INTERVAL})
+        SELECT traj_id, 'positions' AS label, latitude, longitude FROM pos WHERE {_POINT}
+        UNION ALL SELECT traj_id, 'paths', latitude, longitude FROM pth WHERE {_POINT}
+        UNION ALL SELECT traj_id, 'visits', latitude, longitude FROM vis WHERE {_INTERVAL}
+        UNION ALL SELECT traj_id, 'activities', start_latitude, start_longitude FROM act WHERE {_INTERVAL})
       GROUP BY traj_id, label""",
 }
 

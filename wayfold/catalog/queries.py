@@ -19,7 +19,7 @@ from ..functions.geo import haversine
 from ..operators import cells, cluster, curves, filters, knn, layers, mobility, segments, validate
 from ..plans import pipeline
 from ..plans.pipeline import LABELS
-from ..schemas import RAW_POSITIONS, VISITS
+from ..schemas import CLUSTERED_POSITIONS, RAW_POSITIONS, RAW_SIGNALS_JSON, VISITS
 from ..session import saved, shared_folder
 from ..sources import derived, documents, tables, timeline_json
 
@@ -266,6 +266,20 @@ def pipeline_summary(spark, folder):
     )
 
 
+def stored_clusters(spark, folder):
+    """The pipeline stored and read back; trajectories cut to two rows cannot be clustered and stay without clusters."""
+    points, blocks = derived.positions(spark, folder)
+    points = points.where((F.col("traj_id") % 10 != 0) | (F.col("ord") <= 2))
+    result = pipeline.run_pipeline(points, block_rows=blocks)
+    target = os.path.join(shared_folder(spark), f"result-{uuid.uuid4().hex}")
+    kind = points.schema["traj_id"].dataType
+    pipeline.store_result(result, target, kind)
+    clustered = tables.load_table(spark, f"{target}/clustered_positions", tables.keyed(CLUSTERED_POSITIONS, traj_id=kind))
+    left = tables.load_table(spark, f"{target}/unclustered_positions", tables.keyed(RAW_POSITIONS, traj_id=kind))
+    rows = clustered.unionByName(left, allowMissingColumns=True)
+    return rows.select("traj_id", _us("timestamp"), F.col("cluster_id").cast("long").alias("cluster_id"))
+
+
 def pipeline_range_clusters(spark, folder):
     """The pipeline on one range of local time, as positions with clusters."""
     rows = derived.positions(spark, folder)
@@ -342,6 +356,23 @@ def extract_counts(spark, folder):
     return union.groupBy("table_name").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def rejected_documents(spark, folder):
+    """Documents of which some are cut and some have a text for a number: rows of the others, and what was rejected."""
+    points, _ = derived.positions(spark, folder)
+    texts = documents.signal_documents(points).withColumn(
+        "text",
+        F.when(F.col("traj_id") % 5 == 1, F.expr("substring(text, 1, length(text) - 20)"))
+        .when(F.col("traj_id") % 5 == 3, F.regexp_replace("text", '"accuracyMeters":[0-9]+', '"accuracyMeters":"abc"'))
+        .otherwise(F.col("text")),
+    )
+    read = timeline_json.parse_documents(texts, RAW_SIGNALS_JSON, strict=False)
+    rows = timeline_json.raw_positions(read, strict=False).groupBy("traj_id").agg(F.count(F.lit(1)).alias("n"))
+    bad = timeline_json.rejected_documents(read).groupBy("traj_id", "reason").agg(F.count(F.lit(1)).alias("n"))
+    return rows.select("traj_id", F.lit("read").alias("what"), "n").unionByName(
+        bad.select("traj_id", F.col("reason").alias("what"), "n")
+    )
+
+
 def parse_latlng(spark, folder):
     """Coordinate text in several spellings, some of them broken."""
     points, _ = derived.positions(spark, folder)
@@ -525,6 +556,8 @@ QUERIES: dict[str, Query] = {
             load_visits,
             load_activities,
             extract_counts,
+            rejected_documents,
+            stored_clusters,
             parse_latlng,
             parse_timestamp,
             kst_to_utc,

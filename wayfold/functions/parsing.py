@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 # Fixed value: how the documents write times (three fractional digits, offset).
 TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSXXX"
 
+# What counts as a number: no suffixes, NaN or Infinity.
+NUMBER = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+
 
 def coordinate(text: Column, part: int, strict: bool = True) -> Column:
     """Part 0 (latitude) or 1 (longitude) of text such as "37.1°, 127.1°".
@@ -17,7 +20,11 @@ def coordinate(text: Column, part: int, strict: bool = True) -> Column:
     """
     field = F.get(F.split(text, ","), F.lit(part))
     number = F.trim(F.regexp_replace(field, "^([^°]*)°", "$1"))
-    return number.cast("double") if strict else number.try_cast("double")
+    value = F.when(number.rlike(NUMBER), number.try_cast("double"))
+    if not strict:
+        return value
+    bad = F.raise_error(F.concat(F.lit("not a coordinate: "), number)).cast("double")
+    return F.when(number.isNull(), F.lit(None).cast("double")).otherwise(F.coalesce(value, bad))
 
 
 def instant(text: Column, strict: bool = True) -> Column:

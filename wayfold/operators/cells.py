@@ -21,6 +21,7 @@ from ..functions.geo import EARTH_RADIUS_M, SLACK_M, chord, haversine, xyz
 from ..functions.timeops import MICROS, whole_seconds
 from ..session import saved
 from .ordered import BLOCK_ROWS, attach
+from .validate import located, required
 
 # Points of one cell that one task takes before the cell is split.
 CELL_ROWS = 200_000
@@ -47,11 +48,14 @@ def with_search_limits(
     given = {"eps_space": eps_space, "eps_time": eps_time, "min_pts": min_pts}
     if parameters is not None:
         wanted = parameters.select("traj_id", *(F.col(c).alias(n) for n, c in given.items()))
-        return attach(df, wanted, block_rows)
+        limited = attach(located(df), wanted, block_rows)
+        ok = (F.col("eps_space") > 0) & (F.col("eps_time") > 0) & (F.col("min_pts") >= 1)
+        given_here = F.concat_ws(", ", *(F.col(n).cast("string") for n in given))
+        return required(limited, ok, F.concat(F.lit("search limits are missing or too small: "), given_here))
     for name, value in given.items():
         if value < 1 if name == "min_pts" else value <= 0:
             raise ValueError(f"{name} is too small: {value}")
-    return df.withColumns(
+    return located(df).withColumns(
         {
             "eps_space": F.lit(float(eps_space)),
             "eps_time": F.lit(float(eps_time)),
@@ -131,7 +135,7 @@ class CellIndex:
         crowded = self.cells.where(F.col("rows") > cell_rows).select(
             "traj_id", "cell", "no", F.ceil(F.col("rows") / F.lit(cell_rows)).cast("int").alias("_parts")
         )
-        self._crowded = F.broadcast(crowded) if crowded.take(1) else None
+        self._crowded = crowded if crowded.take(1) else None
         numbered = self.cells.select("traj_id", "cell", "no", "rows", "dense")
         self.points = saved(
             self._spread_points(located, "cell")

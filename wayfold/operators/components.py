@@ -34,7 +34,7 @@ def connected_components(edges: DataFrame, group_links: int = GROUP_LINKS) -> Da
     long = counts.where(F.col("_links") > group_links).select("traj_id")
     if not long.take(1):
         return _solved(links)
-    long = F.broadcast(saved(long))
+    long = saved(long)
     return _solved(links.join(long, "traj_id", "left_anti")).unionByName(
         _contracted(saved(links.join(long, "traj_id", "left_semi")))
     )

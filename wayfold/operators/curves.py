@@ -134,14 +134,15 @@ def min_points(df: DataFrame) -> DataFrame:
 def temporal_k_distances(df: DataFrame, max_k: int, block_rows: int | None = BLOCK_ROWS) -> DataFrame:
     """Adds `k_distance`: whole seconds to the k-th nearest row in time, self excluded.
 
-    `df` is ordered by time (`ord`) and has a column `k` <= `max_k`. The k nearest
+    `df` has a column `k` <= `max_k`; its rows are put in order of time here. The k nearest
     rows are neighbours in time order, so a window of k rows either way is enough:
     of all runs of k + 1 rows around the row, the one whose farther end is nearest.
     Null where a trajectory has no k other rows.
     """
     if max_k < 1:
         raise ValueError("k must be at least 1")
-    timed = df.withColumn("_t", F.unix_micros("timestamp"))
+    timed = df.withColumn("_t", F.unix_micros("timestamp")).withColumnRenamed("ord", "_given")
+    timed = ranked(timed, ["traj_id"], [F.col("_t"), F.col("_given")], "ord", block_rows)
     near, by_ord = neighbouring_rows(timed, max_k, block_rows)
     near = near.withColumn("_around", F.collect_list("_t").over(by_ord.rowsBetween(-max_k, max_k)))
     here, k, around = F.least(F.col("ord") - 1, F.lit(max_k)).cast("int"), F.col("k").cast("int"), F.col("_around")
@@ -154,9 +155,8 @@ def temporal_k_distances(df: DataFrame, max_k: int, block_rows: int | None = BLO
         )
     )
     known = (k >= 1) & (F.size(around) > k)
-    return home_rows(near.withColumn("k_distance", F.when(known, whole_seconds(reach))), block_rows).drop(
-        "_t", "_around"
-    )
+    near = home_rows(near.withColumn("k_distance", F.when(known, whole_seconds(reach))), block_rows)
+    return near.drop("_t", "_around", "ord").withColumnRenamed("_given", "ord")
 
 
 def largest_k(df: DataFrame) -> int:

@@ -171,7 +171,7 @@ def _search(open_places: DataFrame, places: DataFrame, max_k: int, cell_rows: in
     crowded = crowded.select(*cell, F.ceil(F.col("_rows") / F.lit(cell_rows)).cast("int").alias("_parts"))
     if crowded.take(1):
         # At most one row per `cell_rows` entered places.
-        crowded = F.broadcast(saved(crowded))
+        crowded = saved(crowded)
         parts = F.coalesce("_parts", F.lit(1))
         entered = entered.join(crowded, cell, "left").withColumn(
             "_part", F.pmod(F.xxhash64("q"), parts).cast("int")

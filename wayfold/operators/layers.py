@@ -53,8 +53,10 @@ def visible_by_time(
     counted = frame.join(per_time, ["traj_id", "label", "timestamp"], "left").withColumn(
         "_n", F.coalesce("_n", F.lit(0))
     )
-    # Rows without a time are there from the first frame on: they sort before all frames.
-    untimed = per_time.where(F.col("timestamp").isNull())
+    # A layer without times shows all its rows from the first frame on: they sort before all frames.
+    # In a layer with times, rows without one are never shown.
+    untimed_layers = per_time.groupBy("traj_id", "label").agg(F.max("timestamp").alias("_last")).where("_last is null")
+    untimed = per_time.join(untimed_layers.drop("_last"), ["traj_id", "label"], "left_semi")
     shown = running_sum(
         counted.unionByName(untimed), ["traj_id", "label"], [F.col("timestamp")], F.col("_n"), "visible", block_rows
     )

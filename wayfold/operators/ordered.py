@@ -96,10 +96,10 @@ def _with_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[Column], ro
 
     The cut points come from a fixed hash sample, so a recomputed task cuts the
     same way. There is at most one oversized key per `rows` rows and one cut per
-    about `rows` rows of such a key: both broadcasts are that small by construction.
+    about `rows` rows of such a key; how they are joined is left to Spark and their sizes.
     """
     position = F.struct(*order)
-    oversized = F.broadcast(_oversized(df, keys, rows))
+    oversized = _oversized(df, keys, rows)
     every = max(1, rows // _SAMPLES_PER_CHUNK)
     sampled = (
         df.join(oversized, list(keys))
@@ -114,7 +114,7 @@ def _with_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[Column], ro
         .agg(F.sort_array(F.collect_list("_at")).alias("_cuts"))
     )
     return (
-        df.join(F.broadcast(cuts), list(keys), "left")
+        df.join(cuts, list(keys), "left")
         .withColumn("_chunk", F.when(F.col("_cuts").isNull(), 0).otherwise(_cuts_before("_cuts", position)))
         .drop("_cuts")
     )

@@ -81,11 +81,22 @@ def strict_rows(df: DataFrame, table: Table) -> DataFrame:
     rules = broken_rules(df, table)
     failed = F.concat_ws(", ", *(F.when(broken, F.lit(name)) for name, broken in rules.items()))
     ok = ~reduce(lambda a, b: a | b, rules.values())
-    first = table.columns[0]
-    checked = F.when(ok, F.col(first)).otherwise(
-        F.raise_error(F.concat(F.lit(f"{table.name}: "), failed)).cast(df.schema[first].dataType)
-    )
-    return df.withColumn(first, checked)
+    return required(df, ok, F.concat(F.lit(f"{table.name}: "), failed))
+
+
+def required(df: DataFrame, ok: Column, message: Column) -> DataFrame:
+    """The same rows; running it fails at a row that is not `ok`.
+
+    The check is a filter, which no choice of columns prunes, and needs no pass of its own.
+    """
+    return df.where(F.when(ok, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+
+
+def located(df: DataFrame) -> DataFrame:
+    """The same rows; running it fails at a row whose coordinates are missing or out of range."""
+    ok = F.col("latitude").between(-90, 90) & F.col("longitude").between(-180, 180)
+    place = F.concat_ws(", ", F.col("latitude").cast("string"), F.col("longitude").cast("string"))
+    return required(df, ok, F.concat(F.lit("not a place on earth: "), place))
 
 
 def coordinate_violations(df: DataFrame) -> DataFrame:
@@ -103,7 +114,7 @@ def check_coordinates(df: DataFrame) -> DataFrame:
     """Raises unless all coordinates are in range. Runs one aggregate."""
     bad = coordinate_violations(df).first()
     if bad.bad_latitude:
-        raise ValueError("latitude must be between -90 and 90")
+        raise ValueError(f"{bad.bad_latitude} rows have a latitude beyond a pole")
     if bad.bad_longitude:
-        raise ValueError("longitude must be between -180 and 180")
+        raise ValueError(f"{bad.bad_longitude} rows have a longitude beyond 180 degrees")
     return df

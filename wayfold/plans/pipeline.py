@@ -5,8 +5,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.cells import CELL_ROWS, with_search_limits
 from ..operators.cluster import st_dbscan
@@ -24,9 +25,13 @@ from ..operators.knn import spatial_k_distances
 from ..operators.layers import layer_union
 from ..operators.ordered import BLOCK_ROWS, ranked
 from ..operators.segments import gap_distances, jump_segments, remove_jumps, segment_context, segment_means, with_segments
+from ..operators.validate import split_rows
+from ..schemas import CLUSTERED_POSITIONS, RAW_POSITIONS
 from ..session import saved
+from ..sources.tables import keyed, save_table
+from ..sources.timeline_json import READERS, read_documents, rejected_documents
 
-LABELS = ("Raw GPS", "Timeline Path", "Visit", "Activity")
+LABELS = ("positions", "paths", "visits", "activities")
 USABLE = "usable"
 TOO_SHORT = "too short"
 EPS_NOT_POSITIVE = "eps not positive"
@@ -90,10 +95,16 @@ def density_parameters(points: DataFrame, block_rows: int | None = BLOCK_ROWS, e
 
 
 def cluster_tuned(tuned: Tuned, block_rows: int | None = BLOCK_ROWS, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """ST-DBSCAN with each trajectory's own parameters; unusable ones are left out."""
+    """ST-DBSCAN with each trajectory's own parameters, and the `status` of the trajectory.
+
+    Rows of unusable trajectories stay, without a cluster.
+    """
     usable = tuned.parameters.where(F.col("status") == USABLE)
-    limited = with_search_limits(tuned.points, "eps_space", "eps_time", "min_pts", usable, block_rows)
-    return st_dbscan(limited, block_rows, cell_rows)
+    rest = tuned.parameters.where(F.col("status") != USABLE).select("traj_id", "status")
+    searched = tuned.points.join(usable.select("traj_id"), "traj_id", "left_semi")
+    limited = with_search_limits(searched, "eps_space", "eps_time", "min_pts", usable, block_rows)
+    clustered = st_dbscan(limited, block_rows, cell_rows).withColumn("status", F.lit(USABLE))
+    return clustered.unionByName(tuned.points.join(rest, "traj_id"), allowMissingColumns=True)
 
 
 @dataclass(frozen=True)
@@ -110,6 +121,8 @@ def run_pipeline(
     block_rows: int | None = BLOCK_ROWS,
 ) -> Result:
     """Positions (traj_id, point_id, timestamp, ...) -> cleaned and clustered positions."""
+    if (start is None) != (end is None):
+        raise ValueError("give both ends of the range, or none")
     if start is not None and end is not None:
         points = ranked(
             filter_points(points, start, end).drop("ord"),
@@ -123,10 +136,43 @@ def run_pipeline(
     return Result(cleaned, tuned, saved(cluster_tuned(tuned, block_rows)))
 
 
+def store_all(
+    spark: SparkSession, documents: str | list[str], folder: str, format: str = "parquet", strict: bool = True
+) -> None:
+    """Extract the four tables of the documents, check them and store each as `folder`/<table>, by day.
+
+    With `strict` any bad document or row fails the run. Otherwise bad rows go, with reasons, to
+    `folder`/<table>_rejected and unreadable documents to `folder`/<table>_unreadable.
+    """
+    for table, (schema, flatten) in READERS.items():
+        read = read_documents(spark, documents, schema, strict)
+        key = keyed(table, traj_id=T.StringType())
+        rows = flatten(read, strict)
+        if not strict:
+            rows, rejected = split_rows(rows, key)
+            rejected.write.mode("overwrite").parquet(f"{folder}/{table.name}_rejected")
+            rejected_documents(read).write.mode("overwrite").parquet(f"{folder}/{table.name}_unreadable")
+        day = "timestamp" if "timestamp" in table.columns else "start_time"
+        save_table(rows, f"{folder}/{table.name}", key, format, by_day=day)
+
+
+def store_result(result: Result, folder: str, traj_type: T.DataType, format: str = "parquet") -> None:
+    """Store cleaned positions, clustered positions, and the rows of trajectories that could not be clustered."""
+    cleaned = keyed(RAW_POSITIONS, traj_id=traj_type)
+    clustered = keyed(CLUSTERED_POSITIONS, traj_id=traj_type)
+    known = F.col("status") == USABLE
+    save_table(result.cleaned.points.select(cleaned.columns), f"{folder}/cleaned_positions", cleaned, format)
+    save_table(
+        result.clustered.where(known).select(clustered.columns), f"{folder}/{CLUSTERED_POSITIONS.name}", clustered, format
+    )
+    save_table(result.clustered.where(~known).select(cleaned.columns), f"{folder}/unclustered_positions", cleaned, format)
+
+
 def summarize(result: Result) -> DataFrame:
     """One row per trajectory: rows kept, thresholds, parameters, clusters and noise."""
     clusters = result.clustered.groupBy("traj_id").agg(
-        F.max("cluster_id").alias("clusters"), F.count_if(F.col("cluster_id") == 0).alias("noise_rows")
+        F.max("cluster_id").alias("clusters"),
+        F.when(F.count("cluster_id") > 0, F.count_if(F.col("cluster_id") == 0)).alias("noise_rows"),
     )
     return (
         result.tuned.parameters.withColumnRenamed("n", "cleaned_rows")

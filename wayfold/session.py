@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -32,12 +33,12 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session may fall back to a temporary folder; on a cluster its
     executors would not see the same files.
     """
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
+    context = spark.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    folder = folder or context.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
     global _local_folder
     if _local_folder is None:
@@ -47,6 +48,16 @@ def shared_folder(spark: SparkSession) -> str:
 
 _local_folder: str | None = None
 
+# Names of UTC as a session zone.
+_UTC = {"UTC", "Etc/UTC", "UCT", "Etc/UCT", "GMT", "Etc/GMT", "Z", "Zulu", "Universal", "Etc/Universal", "+00:00"}
+
+
+def require_utc(spark: SparkSession) -> None:
+    """Times without a zone are read as UTC: another session zone would shift them."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in _UTC:
+        raise ValueError(f"spark.sql.session.timeZone is {zone}: set it to UTC")
+
 
 def saved(df: DataFrame) -> DataFrame:
     """Write `df` once to the shared folder and read it back.

@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import haversine
 from ..operators.ordered import BLOCK_ROWS, home_rows, measured_blocks, neighbouring_rows, ranked
+from ..session import require_utc
 
 STAY_POINTS = 12
 
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
+    require_utc(spark)
     rows = spark.read.parquet(f"{folder}/events.parquet")
     return rows.select(
         F.col("user_id").alias("traj_id"),

@@ -13,25 +13,68 @@ from ..functions.parsing import coordinate, instant
 from ..schemas import ACTIVITIES, RAW_POSITIONS, RAW_SIGNALS_JSON, TIMELINE_PATHS, VISITS, semantic_segments_json
 
 
-def read_documents(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
-    """Documents under `path`, with the file as `traj_id`."""
-    documents = spark.read.schema(schema).option("multiLine", True).json(path)
+# Holds the text of a document that does not parse or has a field of the wrong type.
+_CORRUPT = "_unreadable_text"
+
+
+def read_documents(spark: SparkSession, path: str | list[str], schema: str, strict: bool = True) -> DataFrame:
+    """Documents under `path`, with the file as `traj_id`.
+
+    A document that does not parse, or has a field of the wrong type, fails the query if `strict`.
+    Otherwise it gives no rows, and `rejected_documents` lists it.
+    """
+    return from_files(spark.read, schema, strict).json(path).transform(named)
+
+
+def from_files(reader, schema: str, strict: bool):
+    """Sets up a batch or stream reader of documents."""
+    reader = reader.option("multiLine", True)
+    if strict:
+        return reader.option("mode", "FAILFAST").schema(schema)
+    return (
+        reader.option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", _CORRUPT)
+        .schema(f"{schema}, {_CORRUPT} string")
+    )
+
+
+def named(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("_metadata.file_path").alias("traj_id"), *documents.columns)
 
 
-def parse_documents(texts: DataFrame, schema: str) -> DataFrame:
+def parse_documents(texts: DataFrame, schema: str, strict: bool = True) -> DataFrame:
     """The same for documents that are already a column `text` next to `traj_id`."""
-    parsed = F.from_json("text", schema)
+    if strict:
+        parsed = F.from_json("text", schema, {"mode": "FAILFAST"})
+    else:
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+        parsed = F.from_json("text", f"{schema}, {_CORRUPT} string", options)
     return texts.select("traj_id", parsed.alias("_d")).select("traj_id", "_d.*")
 
 
+def readable(documents: DataFrame) -> DataFrame:
+    """The documents without those that did not parse whole."""
+    return documents.where(F.col(_CORRUPT).isNull()) if _CORRUPT in documents.columns else documents
+
+
+def rejected_documents(documents: DataFrame) -> DataFrame:
+    """(traj_id, reason, entries) of the documents, read without `strict`, that give no rows.
+
+    `entries` is how many signals or segments could be made out, -1 if none.
+    """
+    bad = documents.where(F.col(_CORRUPT).isNotNull())
+    reason = F.when(F.try_parse_json(F.col(_CORRUPT)).isNull(), "not a JSON document").otherwise("a field of the wrong type")
+    part = next(c for c in documents.columns if c not in ("traj_id", _CORRUPT))
+    return bad.select("traj_id", reason.alias("reason"), F.coalesce(F.size(part), F.lit(-1)).alias("entries"))
+
+
 def raw_positions(documents: DataFrame, strict: bool = True, point_ids: bool = False) -> DataFrame:
     """Signals with a position; others are skipped.
 
     With `point_ids`, adds the place of each signal in its document, which orders rows of
     equal time, or all rows if file order is wanted.
     """
-    signal = documents.select("traj_id", F.posexplode("rawSignals").alias("place", "signal"))
+    signal = readable(documents).select("traj_id", F.posexplode("rawSignals").alias("place", "signal"))
     position = signal.where(F.col("signal.position").isNotNull()).select("traj_id", "place", "signal.position.*")
     return position.select(
         "traj_id",
@@ -44,7 +87,7 @@ def raw_positions(documents: DataFrame, strict: bool = True, point_ids: bool = F
 
 
 def _segments(documents: DataFrame, part: str) -> DataFrame:
-    segment = documents.select("traj_id", F.explode("semanticSegments").alias("s"))
+    segment = readable(documents).select("traj_id", F.explode("semanticSegments").alias("s"))
     return segment.where(F.col(f"s.{part}").isNotNull()).select(
         "traj_id", "s.startTime", "s.endTime", F.col(f"s.{part}").alias(part)
     )
@@ -110,13 +153,13 @@ READERS = {
 def extract_all(spark: SparkSession, path: str | list[str], strict: bool = True) -> dict[str, DataFrame]:
     """The four tables of the documents under `path`, lazily."""
     return {
-        table.name: flatten(read_documents(spark, path, schema), strict)
+        table.name: flatten(read_documents(spark, path, schema, strict), strict)
         for table, (schema, flatten) in READERS.items()
     }
 
 
 def extract_all_texts(texts: DataFrame, strict: bool = True) -> dict[str, DataFrame]:
     return {
-        table.name: flatten(parse_documents(texts, schema), strict)
+        table.name: flatten(parse_documents(texts, schema, strict), strict)
         for table, (schema, flatten) in READERS.items()
     }
