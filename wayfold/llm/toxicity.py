@@ -23,8 +23,8 @@ BEGINNING = 4
 # Labelled texts to train on.
 SAMPLE_TEXTS = 6_000
 FOLDS = 3
-# Words in a smaller share of the sample's texts teach nothing: most are chance.
-LEAST_SHARE = 0.002
+# Words whose share of texts in the category is within so many standard errors of all texts' teach nothing.
+STANDARD_ERRORS = 4.0
 PENALTY = 1e-4
 
 
@@ -49,7 +49,10 @@ def _logits(p: np.ndarray) -> np.ndarray:
 
 
 def _fit_one(words: Rows, earlier: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-    common = np.bincount(words.index, minlength=FEATURES) >= max(3, LEAST_SHARE * len(label))
+    texts = np.bincount(words.index, minlength=FEATURES)
+    share = label.mean() if len(label) else 0.0
+    more = np.bincount(words.index, np.repeat(label, np.diff(words.begin)), minlength=FEATURES) - share * texts
+    common = (texts >= 3) & (np.abs(more) > STANDARD_ERRORS * np.sqrt(texts * share * (1 - share)))
     active = np.flatnonzero(common)
     place = np.full(FEATURES, -1)
     place[active] = np.arange(len(active))
@@ -62,7 +65,7 @@ def _fit_one(words: Rows, earlier: np.ndarray, label: np.ndarray) -> tuple[np.nd
         error = (sigmoid(small.times(w) + earlier @ e + b) - label) / len(label)
         return [small.back(error, len(active)) + PENALTY * w, earlier.T @ error + PENALTY * e, error.sum(keepdims=True)]
 
-    adam([w, e, b], gradients, steps=200)
+    adam([w, e, b], gradients, steps=300)
     full = np.zeros(FEATURES)
     full[active] = w
     return full, e, float(b[0])
