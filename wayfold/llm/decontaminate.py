@@ -143,8 +143,10 @@ def clean(documents: DataFrame, benchmark: DataFrame, n: int = 10, drop_percent:
 def _without(text: Column, spans: Column) -> Column:
     """The text without the words of the spans; each word goes with the separators before it."""
     # Pieces: separators and a word each; what follows the last word stays.
-    pieces = F.regexp_extract_all(text, F.lit(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]*[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"), F.lit(0))
-    tail = F.regexp_extract(text, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]*\z", 0)
+    # The text is not lowered here, so A-Z are in words.
+    between = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
+    pieces = F.regexp_extract_all(text, F.lit(f"[{between}]*[^{between}]+"), F.lit(0))
+    tail = F.regexp_extract(text, f"[{between}]*\\z", 0)
     # Merged spans, then the pieces between them.
     empty = F.array().cast("array<struct<a:int,b:int>>")
 
@@ -162,7 +164,7 @@ def _without(text: Column, spans: Column) -> Column:
         )
 
     def rest(p: Column) -> Column:
-        def between(m: Column) -> Column:
+        def outside(m: Column) -> Column:
             return F.array_join(
                 F.transform(
                     F.sequence(F.lit(0), F.size(m)),
@@ -179,6 +181,6 @@ def _without(text: Column, spans: Column) -> Column:
                 "",
             )
 
-        return _with(F.aggregate(spans, empty, merge), between)
+        return _with(F.aggregate(spans, empty, merge), outside)
 
     return F.concat(_with(pieces, rest), tail)
