@@ -24,7 +24,7 @@ BEGINNING = 4
 SAMPLE_TEXTS = 6_000
 FOLDS = 3
 # Words whose share of texts in the category is within so many standard errors of all texts' teach nothing.
-STANDARD_ERRORS = 4.0
+STANDARD_ERRORS = 3.0
 PENALTY = 1e-4
 
 
