@@ -43,7 +43,7 @@ BROADCAST_IDS = 2_000_000
 # Texts compared with a leader in one group.
 GROUP = 256
 # Sets of a row compared with each other in one block.
-BLOCK = 512
+BLOCK = 1024
 # Bits of a sketch per shingle, rounded up to a power of two in all.
 SKETCH_BITS = 2
 
