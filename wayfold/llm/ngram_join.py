@@ -368,21 +368,42 @@ def _may_link(pairs: DataFrame, known: DataFrame, plan: Plan) -> DataFrame:
     return both.mapInArrow(of, "node long, leader long")
 
 
-def _open_pairs(rows: DataFrame, plan: Plan, nearest: bool) -> DataFrame:
-    """(node, leader): pairs in a row (key), of different parts, that sketches leave open.
+def _open_rows(members: DataFrame, part_of: DataFrame) -> DataFrame:
+    """(key, node, part, sets): the sets of rows (keys) that are still in several components.
 
-    With `nearest`, each set names only its nearest one. `rows` are (key, node, part, n, bits). Rows
-    are compared in blocks: each block of a key meets each other block of it in a task of its own.
+    Sets that agree in much share many rows; of rows with the same sets (by 128 bits) one is kept.
     """
-    counts = rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    dealt = (
-        rows.join(counts, "key")
-        .withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            "key", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own", "node", "part", "n", "bits"
+    labelled = _labelled(members, part_of, "node", "part")
+    one, two = (F.bit_xor(F.xxhash64("node", F.lit(k))) for k in (1, 2))
+    keys = (
+        labelled.groupBy("key")
+        .agg(
+            F.min("part").alias("low"),
+            F.max("part").alias("high"),
+            F.count(F.lit(1)).alias("sets"),
+            one.alias("one"),
+            two.alias("two"),
         )
+        .where("low < high")
+        .groupBy("sets", "one", "two")
+        .agg(F.min("key").alias("key"))
+    )
+    return labelled.join(keys.select("key", "sets"), "key")
+
+
+def _open_pairs(rows: DataFrame, known: DataFrame, plan: Plan, nearest: bool) -> DataFrame:
+    """(key, node, leader): pairs in a row (key), of different parts, that sketches leave open.
+
+    With `nearest`, each set names only its nearest one. `rows` are those of _open_rows, `known` the
+    sketches. Rows are compared in blocks: each block of a key meets each other block of it in a
+    task of its own.
+    """
+    blocks = F.ceil(F.col("sets") / BLOCK).cast("int")
+    dealt = (
+        rows.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        .select("key", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own", "node", "part")
+        .join(known, "node")
     )
 
     def of(batches):
@@ -402,15 +423,16 @@ def _open_pairs(rows: DataFrame, plan: Plan, nearest: bool) -> DataFrame:
             yield _pairs(found)
 
     together = dealt.repartition("key", "a", "b").sortWithinPartitions("key", "a", "b", "node")
-    return together.mapInArrow(of, "node long, leader long").distinct()
+    return together.mapInArrow(of, "key long, node long, leader long")
 
 
-def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
-    low, high = np.sort(np.array(found, np.int64), axis=1).T
-    return pa.RecordBatch.from_arrays([pa.array(high), pa.array(low)], ["node", "leader"])
+def _pairs(found: list[tuple[int, int, int]]) -> pa.RecordBatch:
+    key, one, other = np.array(found, np.int64).T
+    columns = [pa.array(x) for x in (key, np.maximum(one, other), np.minimum(one, other))]
+    return pa.RecordBatch.from_arrays(columns, ["key", "node", "leader"])
 
 
-def _compared_block(key, held: list, plan: Plan, nearest: bool) -> list[tuple[int, int]]:
+def _compared_block(key, held: list, plan: Plan, nearest: bool) -> list[tuple[int, int, int]]:
     """Open pairs of a block (own blocks a = b) or between two."""
     if len(held) < 2:
         return []
@@ -445,7 +467,7 @@ def _compared_block(key, held: list, plan: Plan, nearest: bool) -> list[tuple[in
         i, j = i[some], j[some]
     else:
         i, j = np.nonzero(open_pair)
-    return list(zip(node[left][i].tolist(), node[right][j].tolist()))
+    return [(key[0], x, y) for x, y in zip(node[left][i].tolist(), node[right][j].tolist())]
 
 
 def connected(sets: DataFrame, plan: Plan, rows: int) -> DataFrame:
@@ -461,13 +483,15 @@ def connected(sets: DataFrame, plan: Plan, rows: int) -> DataFrame:
     found = saved(compared(_may_link(shared, known, plan), sets, plan).where(linked).select("node", "leader"))
     part_of = components(found)
     for nearest in (True, False):
-        labelled = _labelled(members, part_of, "node", "part")
-        several = labelled.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
-        open_rows = labelled.join(several.select("key"), "key").join(known, "node")
-        asked = _open_pairs(open_rows, plan, nearest)
+        asked = saved(_open_pairs(_open_rows(members, part_of), known, plan, nearest))
+        if not asked.take(1):
+            break
         more = saved(compared(asked, sets, plan).where(linked).select("node", "leader"))
-        found = found.unionByName(more)
-        part_of = components(found)
+        if more.take(1):
+            found = found.unionByName(more)
+            part_of = components(found)
+        # A set that neither names nor is named has no open pair in this row.
+        members = saved(asked.select("key", "node").union(asked.select("key", F.col("leader").alias("node"))).distinct())
     return part_of
 
 
