@@ -229,6 +229,28 @@ def test_license_scan(spark, odd, empty):
     assert license_scan.licenses(odd).where("n_matches > 0").count() == 0 and license_scan.licenses(empty).count() == 0
 
 
+def test_whole_licenses_and_their_parts(spark):
+    """Whole licenses have coverage 1 and end where they end; later parts of a license are found with their share."""
+    whole = {n: x for n, x in license_scan.TEMPLATES.items() if n.endswith(" text")}
+    rows = [(i, f"x y. {whole[n]} z") for i, n in enumerate(whole)]
+    mit, bsd = whole["MIT text"], whole["BSD-3-Clause text"]
+    parts = {
+        100: ("MIT text", mit[mit.index("THE SOFTWARE IS PROVIDED") :]),
+        101: ("MIT text", mit[: mit.index(", and to permit")]),
+        102: ("BSD-3-Clause text", bsd[bsd.index("3. Neither") :]),
+        103: ("GPL-2.0 text", whole["GPL-2.0 text"][8000:12000]),
+    }
+    rows += [(i, x) for i, (_, x) in parts.items()]
+    got = {r.doc_id: r.matches for r in license_scan.licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, n in enumerate(whole):
+        (m,) = got[i]
+        assert (m["license"], m["coverage"]) == (n, 1)
+        assert re.findall(r"\w+", rows[i][1][: m["start"]]) == ["x", "y"]
+        assert re.findall(r"\w+", rows[i][1][m["end"] :]) == ["z"]
+    for i, (name, _) in parts.items():
+        assert [m["license"] for m in got[i]] == [name] and 0 < got[i][0]["coverage"] < 0.9
+
+
 def test_token_scan(spark, folder, docs, odd, empty, tmp_path):
     ids = tokenizer(default_path()).ids
     got = {r.doc_id: r.n_tokens for r in queries.op8_token_counts(spark, folder).collect()}

@@ -1,14 +1,19 @@
 """License scan: winnowed fingerprints of templates pick candidates, banded alignment measures them.
 
-Texts and templates are words of letters and digits, lowered. Hashes of K words in a row are
-winnowed: of each W in a row the smallest is a fingerprint. An inverted index gives the places of a
-fingerprint in the templates. Hits of a template on about the same diagonal are a candidate, and an
-alignment of words within a band around it gives matched words and their span in the text.
+Templates are whole licenses and common notices, cut into passages. Texts and templates are words of
+letters and digits, lowered. Hashes of K words in a row are winnowed: of each W in a row the smallest
+is a fingerprint. An inverted index gives the places of a fingerprint in the passages. Hits of a
+passage on about the same diagonal are a candidate, and an alignment of words within a band around it
+gives matched words and their span in the text. Passages of a template that follow each other in the
+text are one match, be it the whole license or a part of it.
 """
 
 from __future__ import annotations
 
+import pkgutil
+import re
 from collections import defaultdict
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,37 +25,49 @@ K, W = 3, 2
 # Words that an alignment may be off the diagonal of a hit.
 BAND = 6
 LEAST_COVERAGE = 0.8
+# Fewest and most words of a passage: shorter paragraphs go with the next one, longer ones are cut evenly.
+PASSAGE = (16, 32)
+# Words that a text may have between two passages beyond those of the template.
+GAP = 100
 
-# Notices and opening passages of public licenses.
+# Whole texts, in license_texts. Of templates that fit a passage alike the earlier one is named.
+WHOLE = (
+    "MIT", "Apache-2.0", "GPL-3.0", "GPL-2.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "BSD-3-Clause", "BSD-2-Clause", "ISC",
+    "MPL-2.0", "MPL-1.1", "CC0-1.0", "Unlicense", "LGPL-2.0", "GPL-1.0", "GFDL-1.3", "GFDL-1.2", "Artistic-1.0",
+)
+
+
+def _gnu_header(work: str, name: str, version: str, mark: str) -> str:
+    return (
+        f"This {work} is free software{mark} you can redistribute it and/or modify it under the terms of the GNU {name} "
+        f"as published by the Free Software Foundation{';' if mark == ';' else ','} either version {version} of the License, "
+        f"or (at your option) any later version\n\nThis {work} is distributed in the hope that it will be useful, but "
+        "WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. "
+        f"See the GNU {name} for more details.\n\nYou should have received a copy of the GNU {name} along with this {work}"
+    )
+
+
+# Notices and headers of public licenses, and their whole texts.
 TEMPLATES = {
     "Apache-2.0 notice": "Licensed under the Apache License, Version 2.0",
     "Apache-2.0 header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file "
     "except in compliance with the License. You may obtain a copy of the License at "
-    "http://www.apache.org/licenses/LICENSE-2.0",
+    "http://www.apache.org/licenses/LICENSE-2.0\n\nUnless required by applicable law or agreed to in writing, software "
+    "distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, "
+    "either express or implied. See the License for the specific language governing permissions and limitations under "
+    "the License.",
     "MIT notice": "Released under the MIT License",
-    "MIT text": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
-    "associated documentation files (the \"Software\"), to deal in the Software without restriction, including "
-    "without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell "
-    "copies of the Software",
     "GPL-3.0 notice": "This work is licensed under the GNU General Public License, version 3",
-    "GPL-3.0 header": "This program is free software: you can redistribute it and/or modify it under the terms of the "
-    "GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or "
-    "(at your option) any later version",
-    "LGPL-2.1 header": "This library is free software; you can redistribute it and/or modify it under the terms of "
-    "the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the "
-    "License, or (at your option) any later version",
+    "GPL-3.0 header": _gnu_header("program", "General Public License", "3", ":"),
+    "LGPL-2.1 header": _gnu_header("library", "Lesser General Public License", "2.1", ";"),
     "CC-BY-NC-4.0 notice": "Licensed under CC BY-NC 4.0",
     "CC-BY-4.0 notice": "This work is licensed under a Creative Commons Attribution 4.0 International License",
     "CC-BY-SA-4.0 notice": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International "
     "License",
-    "BSD text": "Redistribution and use in source and binary forms, with or without modification, are permitted "
-    "provided that the following conditions are met",
-    "ISC text": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee "
-    "is hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
     "MPL-2.0 header": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy "
     "of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/",
-    "Unlicense text": "This is free and unencumbered software released into the public domain",
-}
+    "Unlicense notice": "This is free and unencumbered software released into the public domain",
+} | {f"{name} text": pkgutil.get_data(__package__, f"license_texts/{name}.txt").decode() for name in WHOLE}
 
 
 def winnowed(values: np.ndarray) -> np.ndarray:
@@ -61,37 +78,111 @@ def winnowed(values: np.ndarray) -> np.ndarray:
     return np.unique(np.arange(len(windows)) + W - 1 - windows[:, ::-1].argmin(axis=1))
 
 
+def passages(text: str) -> list[np.ndarray]:
+    """The words of a template, passage by passage."""
+    column = pa.array(re.split(r"\n\s*\n", text))
+    found, held = [], np.zeros(0, np.uint64)
+    for run in runs(column, LETTERS_DIGITS):
+        words = run.hashes()
+        for a, b in zip(run.number[:-1], run.number[1:]):
+            held = np.concatenate([held, words[a:b]])
+            if len(held) >= PASSAGE[0]:
+                found.append(held)
+                held = held[:0]
+    if len(held):
+        found.append(np.concatenate([found.pop(), held]) if found else held)
+    return [part for x in found for part in np.array_split(x, -(-len(x) // PASSAGE[1]))]
+
+
 class Templates:
     def __init__(self, texts: dict[str, str]):
-        self.names = sorted(texts)
-        run = next(runs(pa.array([texts[n] for n in self.names]), LETTERS_DIGITS))
-        words = run.hashes()
-        self.words = [words[a:b] for a, b in zip(run.number[:-1], run.number[1:])]
+        self.names = list(texts)
+        self.of: list[int] = []  # the template of each passage
+        self.begin: list[int] = []  # and its first word there
+        self.words: list[np.ndarray] = []
+        self.size: list[int] = []  # words of each template
         self.index: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for t, own in enumerate(self.words):
-            values, _ = grams(own, np.array([0, len(own)]), K)
-            # All grams of a template are listed, winnowed or not: those of a text are winnowed.
-            for at, value in enumerate(values.tolist()):
-                self.index[value].append((t, at))
+        for t, text in enumerate(texts.values()):
+            total = 0
+            for own in passages(text):
+                self.of.append(t)
+                self.begin.append(total)
+                total += len(own)
+                self.words.append(own)
+            self.size.append(total)
+        number = np.concatenate([[0], np.cumsum([len(x) for x in self.words])]).astype(np.int64)
+        values, begin = grams(np.concatenate([np.zeros(0, np.uint64), *self.words]), number, K)
+        # All grams of a passage are listed, winnowed or not: those of a text are winnowed.
+        for p, (a, b) in enumerate(zip(begin[:-1].tolist(), begin[1:].tolist())):
+            for at, value in enumerate(values[a:b].tolist()):
+                self.index[value].append((p, at))
         self.known = np.array(sorted(self.index), np.uint64)
 
     def matches(self, words: np.ndarray, hits: list[tuple[int, int]]) -> list[tuple[str, float, int, int]]:
         """(template, coverage, first word, word after the last) of a text, from (place, gram) hits."""
         diagonals = defaultdict(set)
         for at, value in hits:
-            for t, place in self.index[value]:
-                diagonals[t].add(at - place)
-        found = []
-        for t, places in diagonals.items():
+            for p, place in self.index[value]:
+                diagonals[p].add(at - place)
+        found = defaultdict(set)
+        for p, places in diagonals.items():
             group: list[int] = []
             for d in [*sorted(places), None]:
                 if group and (d is None or d - group[-1] > BAND):
-                    n, first, last = aligned(self.words[t], words, group[0] - BAND, group[-1] + BAND)
-                    if n >= LEAST_COVERAGE * len(self.words[t]):
-                        found.append((self.names[t], n / len(self.words[t]), first, last))
+                    n, first, last = self._aligned(p, words, group[0] - BAND, group[-1] + BAND)
+                    if n >= LEAST_COVERAGE * len(self.words[p]):
+                        found[self.of[p]].add((first, p, last, n))
                     group = []
                 group.append(d)
-        return _without_parts(found)
+        joined = []
+        for t, parts in found.items():
+            for first, last, n in self._joined(sorted(parts)):
+                joined.append((t, min(1.0, n / self.size[t]), first, last, n))
+        return [(self.names[t], *rest) for t, *rest in _without_parts(joined)]
+
+    def _aligned(self, p: int, words: np.ndarray, low: int, high: int) -> tuple[int, int, int]:
+        own = self.words[p]
+        # Words that the text does not have there cannot match: most candidates end here.
+        near = words[max(0, low) : max(0, high + len(own))]
+        if np.isin(own, near).sum() < LEAST_COVERAGE * len(own):
+            return 0, -1, -1
+        return aligned(own, words, low, high)
+
+    def _joined(self, parts: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int]]:
+        """(first word, word after the last, matched words) of passages (first, passage, last, matched) of one template
+        that follow each other in template and text."""
+        first, p, last, n = np.array(parts).T
+        if self.size[self.of[p[0]]] == len(self.words[p[0]]):  # a single passage
+            return list(zip(first.tolist(), last.tolist(), n.tolist()))
+        begin, length = np.array(self.begin)[p], np.array([len(self.words[x]) for x in p])
+        # No part that begins before can be followed.
+        near = np.searchsorted(first, first - self.size[self.of[p[0]]] - GAP - 2 * PASSAGE[1])
+        total, before = n.copy(), np.full(len(n), -1)
+        for i in range(1, len(n)):
+            j = slice(near[i], i)
+            gap = first[i] - last[j]
+            fits = (p[j] < p[i]) & (gap >= -BAND) & (gap <= begin[i] - begin[j] - length[j] + GAP)
+            best = np.where(fits, total[j], 0)
+            if len(best) and best.max() > 0:
+                before[i] = near[i] + int(best.argmax())
+                total[i] += best.max()
+        done, free = [], np.ones(len(n), bool)
+        for i in np.argsort(-total, kind="stable").tolist():
+            if not free[i]:
+                continue
+            end, matched = last[i], 0
+            while i >= 0 and free[i]:
+                free[i] = False
+                start, matched, end = first[i], matched + n[i], max(end, last[i])
+                i = before[i]
+            done.append((int(start), int(end), int(matched)))
+        return done
+
+
+@lru_cache(maxsize=2)
+def _indexed(items: tuple[tuple[str, str], ...]) -> Templates:
+    """The index of some templates, once per worker."""
+    return Templates(dict(items))
 
 
 def aligned(template: np.ndarray, words: np.ndarray, low: int, high: int) -> tuple[int, int, int]:
@@ -127,25 +218,29 @@ def aligned(template: np.ndarray, words: np.ndarray, low: int, high: int) -> tup
     return top
 
 
-def _without_parts(found: list[tuple[str, float, int, int]]) -> list[tuple[str, float, int, int]]:
-    """Drops matches inside a longer one, as a notice inside its header."""
-    kept: list[tuple[str, float, int, int]] = []
-    for x in sorted(set(found), key=lambda x: (x[2] - x[3], -x[1], x[0], x[2])):
-        if not any(y[2] <= x[2] and x[3] <= y[3] for y in kept):
-            kept.append(x)
+def _without_parts(found: list[tuple[int, float, int, int, int]]) -> list[tuple[int, float, int, int]]:
+    """Drops matches that lie by half or more in one of more matched words, as a notice inside its header.
+
+    Of as many matched words, that with the larger coverage (in tenths) is kept, then the earlier template.
+    """
+    kept: list[tuple[int, float, int, int]] = []
+    for t, coverage, first, last, _ in sorted(found, key=lambda x: (-x[4], -round(x[1], 1), x[0], x[2])):
+        if not any(2 * (min(last, y[3]) - max(first, y[2])) >= last - first for y in kept):
+            kept.append((t, coverage, first, last))
     return sorted(kept, key=lambda x: x[2])
 
 
 def licenses(documents: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
     """(doc_id, n_matches, matches) of each text: matches are (license, coverage, start, end).
 
-    Coverage is the share of the template's words that the text has in order within the band; start
-    and end are characters of the text. Null, empty and other texts without a match have none.
+    Coverage is the share of the template's words, of a whole license for those named "text", that the
+    text has in passages of which it has at least LEAST_COVERAGE in order within the band; start and end
+    are characters of the text. A part of a license is a match with a small coverage. Null, empty and other texts without a match have none.
     Repeated rows are scanned each; an empty table gives an empty result; other columns are ignored.
     """
 
     def of(batches):
-        index = Templates(templates)
+        index = _indexed(tuple(templates.items()))
         for batch in batches:
             out: list[list[dict]] = [[] for _ in range(batch.num_rows)]
             for run in runs(batch.column("text"), LETTERS_DIGITS):
