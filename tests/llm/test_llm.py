@@ -251,6 +251,31 @@ def test_whole_licenses_and_their_parts(spark):
         assert [m["license"] for m in got[i]] == [name] and 0 < got[i][0]["coverage"] < 0.9
 
 
+def test_neighbouring_licenses(spark):
+    """Names and versions decide, where all other words of a notice agree."""
+    header = license_scan.TEMPLATES["GPL-3.0 header"]
+    cases = [
+        ("Licensed under CC BY 4.0.", ["CC-BY-4.0 short notice"]),
+        ("Licensed under CC BY-SA 4.0.", ["CC-BY-SA-4.0 short notice"]),
+        ("Licensed under CC BY-NC 4.0.", ["CC-BY-NC-4.0 notice"]),
+        ("Licensed under CC BY-NC 2.5.", []),
+        ("Released under the BSD License.", ["BSD notice"]),
+        ("Licensed under the BSD License.", ["BSD notice"]),
+        ("Licensed under the MIT License.", ["MIT notice"]),
+        ("Released under the Foo License.", []),
+        ("Licensed under the Apache License, Version 1.1.", []),
+        ("This work is licensed under the GNU General Public License, version 2.", ["GPL-2.0 notice"]),
+        ("This work is licensed under the GNU Affero General Public License, version 3.", ["AGPL-3.0 notice"]),
+        ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License", ["CC-BY-NC-4.0 long notice"]),
+        (header, ["GPL-3.0 header"]),
+        (header.replace("software:", "software;").replace("version 3", "version 2"), ["GPL-2.0 header"]),
+        (header.replace("GNU General", "GNU Affero General"), ["AGPL-3.0 header"]),
+    ]
+    df = spark.createDataFrame([(i, f"some words {text}") for i, (text, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: [m["license"] for m in r.matches] for r in license_scan.licenses(df).collect()}
+    assert got == {i: names for i, (_, names) in enumerate(cases)}
+
+
 def test_token_scan(spark, folder, docs, odd, empty, tmp_path):
     ids = tokenizer(default_path()).ids
     got = {r.doc_id: r.n_tokens for r in queries.op8_token_counts(spark, folder).collect()}

@@ -4,7 +4,8 @@ Templates are whole licenses and common notices, cut into passages. Texts and te
 letters and digits, lowered. Hashes of K words in a row are winnowed: of each W in a row the smallest
 is a fingerprint. An inverted index gives the places of a fingerprint in the passages. Hits of a
 passage on about the same diagonal are a candidate, and an alignment of words within a band around it
-gives matched words and their span in the text. Passages of a template that follow each other in the
+gives matched words and their span in the text. What tells licenses apart, names and versions, has to
+stand in the span word by word. Passages of a template that follow each other in the
 text are one match, be it the whole license or a part of it.
 """
 
@@ -36,6 +37,15 @@ WHOLE = (
     "MPL-2.0", "MPL-1.1", "CC0-1.0", "Unlicense", "LGPL-2.0", "GPL-1.0", "GFDL-1.3", "GFDL-1.2", "Artistic-1.0",
 )
 
+# Names and versions in templates: a passage matches only where all of its own stand as they are.
+KEY = re.compile(
+    r"Apache License \d\.\d|CC BY(?:-\w\w)* \d\.\d|CC0|Attribution(?:-\w+)* \d\.\d|(?:MIT|ISC|BSD(?: \d-Clause)?) License|"
+    r"(?:Apache|Mozilla Public|GNU (?:\w+ )?General Public) License|\b[AL]?GPL\b|\b(?:version|v\.) \d+(?:\.\d+)?".replace(
+        " ", r"\s+"
+    ).encode(),
+    re.I,
+)
+
 
 def _gnu_header(work: str, name: str, version: str, mark: str) -> str:
     return (
@@ -47,6 +57,22 @@ def _gnu_header(work: str, name: str, version: str, mark: str) -> str:
     )
 
 
+def _creative_commons() -> dict[str, str]:
+    words = {"BY": "Attribution", "SA": "ShareAlike", "NC": "NonCommercial", "ND": "NoDerivatives"}
+    found = {}
+    for kind in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND"):
+        name = "-".join(words[x] for x in kind.split("-"))
+        for version, port in (("4.0", "International"), ("3.0", "Unported")):
+            # No version's text depends on the port: it may be left out.
+            found[f"CC-{kind}-{version} short notice"] = f"Licensed under CC BY{kind[2:]} {version}"
+            found[f"CC-{kind}-{version} long notice"] = (
+                f"This work is licensed under a Creative Commons {name} {version} {port} License"
+            )
+    for given in ("CC-BY-NC-4.0 short", "CC-BY-4.0 long", "CC-BY-SA-4.0 long"):  # listed without a form
+        del found[f"{given} notice"]
+    return found
+
+
 # Notices and headers of public licenses, and their whole texts.
 TEMPLATES = {
     "Apache-2.0 notice": "Licensed under the Apache License, Version 2.0",
@@ -67,7 +93,20 @@ TEMPLATES = {
     "MPL-2.0 header": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy "
     "of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/",
     "Unlicense notice": "This is free and unencumbered software released into the public domain",
-} | {f"{name} text": pkgutil.get_data(__package__, f"license_texts/{name}.txt").decode() for name in WHOLE}
+    "Apache-2.0 short notice": "Licensed under the Apache License 2.0",
+    "BSD notice": "Released under the BSD License",
+    "BSD-2-Clause notice": "Released under the BSD 2-Clause License",
+    "BSD-3-Clause notice": "Released under the BSD 3-Clause License",
+    "ISC notice": "Released under the ISC License",
+    "MPL-2.0 notice": "Licensed under the Mozilla Public License, version 2.0",
+    "GPL-2.0 notice": "This work is licensed under the GNU General Public License, version 2",
+    "LGPL-2.1 notice": "This work is licensed under the GNU Lesser General Public License, version 2.1",
+    "LGPL-3.0 notice": "This work is licensed under the GNU Lesser General Public License, version 3",
+    "AGPL-3.0 notice": "This work is licensed under the GNU Affero General Public License, version 3",
+    "GPL-2.0 header": _gnu_header("program", "General Public License", "2", ";"),
+    "LGPL-3.0 header": _gnu_header("library", "Lesser General Public License", "3", ":"),
+    "AGPL-3.0 header": _gnu_header("program", "Affero General Public License", "3", ":"),
+} | _creative_commons() | {f"{name} text": pkgutil.get_data(__package__, f"license_texts/{name}.txt").decode() for name in WHOLE}
 
 
 def winnowed(values: np.ndarray) -> np.ndarray:
@@ -78,20 +117,36 @@ def winnowed(values: np.ndarray) -> np.ndarray:
     return np.unique(np.arange(len(windows)) + W - 1 - windows[:, ::-1].argmin(axis=1))
 
 
-def passages(text: str) -> list[np.ndarray]:
-    """The words of a template, passage by passage."""
-    column = pa.array(re.split(r"\n\s*\n", text))
-    found, held = [], np.zeros(0, np.uint64)
-    for run in runs(column, LETTERS_DIGITS):
+def passages(text: str) -> list[tuple[np.ndarray, list[np.ndarray]]]:
+    """The words of a template, passage by passage, and the keys of each."""
+    found, held, keys = [], np.zeros(0, np.uint64), []  # keys: first word and word after the last
+    for run in runs(pa.array(re.split(r"\n\s*\n", text)), LETTERS_DIGITS):
         words = run.hashes()
-        for a, b in zip(run.number[:-1], run.number[1:]):
+        for i, (a, b) in enumerate(zip(run.number[:-1], run.number[1:])):
+            at = run.offsets[i]
+            for m in KEY.finditer(run.data[at : run.offsets[i + 1]].tobytes()):
+                first, last = np.searchsorted(run.starts, [at + m.start(), at + m.end()])
+                keys.append((len(held) + first - a, len(held) + last - a))
             held = np.concatenate([held, words[a:b]])
             if len(held) >= PASSAGE[0]:
-                found.append(held)
-                held = held[:0]
+                found.append((held, keys))
+                held, keys = held[:0], []
     if len(held):
-        found.append(np.concatenate([found.pop(), held]) if found else held)
-    return [part for x in found for part in np.array_split(x, -(-len(x) // PASSAGE[1]))]
+        before, own = found.pop() if found else (held[:0], [])
+        found.append((np.concatenate([before, held]), own + [(len(before) + x, len(before) + y) for x, y in keys]))
+    parts = []
+    for words, keys in found:
+        begin = 0
+        for part in np.array_split(words, -(-len(words) // PASSAGE[1])):
+            end = begin + len(part)
+            parts.append((part, [words[x:y] for x, y in keys if begin <= x and y <= end]))
+            begin = end
+    return parts
+
+
+def _stands(key: np.ndarray, words: np.ndarray) -> bool:
+    at = np.flatnonzero(words[: max(0, len(words) - len(key) + 1)] == key[0])
+    return any(np.array_equal(words[i : i + len(key)], key) for i in at.tolist())
 
 
 class Templates:
@@ -100,15 +155,17 @@ class Templates:
         self.of: list[int] = []  # the template of each passage
         self.begin: list[int] = []  # and its first word there
         self.words: list[np.ndarray] = []
+        self.keys: list[list[np.ndarray]] = []
         self.size: list[int] = []  # words of each template
         self.index: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for t, text in enumerate(texts.values()):
             total = 0
-            for own in passages(text):
+            for own, keys in passages(text):
                 self.of.append(t)
                 self.begin.append(total)
                 total += len(own)
                 self.words.append(own)
+                self.keys.append(keys)
             self.size.append(total)
         number = np.concatenate([[0], np.cumsum([len(x) for x in self.words])]).astype(np.int64)
         values, begin = grams(np.concatenate([np.zeros(0, np.uint64), *self.words]), number, K)
@@ -146,7 +203,10 @@ class Templates:
         near = words[max(0, low) : max(0, high + len(own))]
         if np.isin(own, near).sum() < LEAST_COVERAGE * len(own):
             return 0, -1, -1
-        return aligned(own, words, low, high)
+        if not all(_stands(key, near) for key in self.keys[p]):
+            return 0, -1, -1
+        n, first, last = aligned(own, words, low, high)
+        return (n, first, last) if all(_stands(key, words[first:last]) for key in self.keys[p]) else (0, -1, -1)
 
     def _joined(self, parts: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int]]:
         """(first word, word after the last, matched words) of passages (first, passage, last, matched) of one template
