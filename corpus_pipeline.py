@@ -1,7 +1,7 @@
 """A training corpus from the documents table: language, quality, near copies, benchmark passages, packing.
 
 Each stage takes the documents that its predecessor kept, with all their columns, and decides about
-them: texts without a language go, texts that fail a quality rule go, one document of each group of
+them: texts without a language go and a missing language is filled in, texts that fail a quality rule go, one document of each group of
 near copies stays, benchmark passages go, and what is left is packed into sequences.
 """
 
@@ -28,11 +28,17 @@ def _beside(docs: DataFrame) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without a language (null, or no letter) go."""
+    """Texts without a language (null, or no letter) go; a null lang of the others is filled by the model.
+
+    Where no document outside the held-out ones has text and lang there is no model, and lang stays null.
+    """
     held_out = language_id.held_out(F.col("doc_id"))
     model = language_id.fit(docs.where(~held_out).select("doc_id", "text", "lang"))
-    found = language_id.predicted(_beside(docs), model)
-    return found.where(F.col("lang_pred") != language_id.UNKNOWN).select("row.*")
+    if model is None:
+        return language_id.with_letters(docs)
+    found = language_id.predicted(_beside(docs), model).where(F.col("lang_pred") != language_id.UNKNOWN)
+    filled = F.coalesce(F.col("row.lang"), F.col("lang_pred"))
+    return found.withColumn("row", F.col("row").withField("lang", filled)).select("row.*")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -386,3 +386,26 @@ def test_pipeline(spark, folder, docs):
     assert {r.doc_id for r in rows} == kept[3]
 
 
+
+
+def test_pipeline_fills_languages(spark, folder, docs):
+    import corpus_pipeline as p
+
+    no_lang = F.col("doc_id") % 5 == 0
+    given = docs.withColumn("lang", F.when(~no_lang, F.col("lang")))
+    out = p.language(spark, given, folder)
+    assert out.columns == docs.columns
+    was = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
+    now = {r.doc_id: r.lang for r in out.select("doc_id", "lang").collect()}
+    assert all(now[i] == was[i] for i in now if i % 5)
+    filled = [now[i] == was[i] for i in now if i % 5 == 0]
+    assert None not in now.values() and sum(filled) > 0.9 * len(filled) > 0
+
+
+def test_pipeline_of_unlabelled_documents(spark, folder, odd):
+    import corpus_pipeline as p
+
+    rows = odd.withColumn("lang", F.lit(None).cast("string"))
+    out = p.language(spark, rows, folder)
+    assert out.columns == rows.columns and out.where("lang is not null").count() == 0
+    assert Counter(r.doc_id for r in out.collect()) == Counter([4, 5, 6, 6, None, 8])

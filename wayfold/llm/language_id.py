@@ -111,6 +111,20 @@ def _texts(column: pa.Array) -> Iterator[tuple[int, bytes]]:
         yield i, (value.as_py() or "").encode() if value.is_valid else b""
 
 
+def _has_letter(text: bytes) -> bool:
+    return bool(_LETTER[np.frombuffer(text, np.uint8)].any()) or any(map(str.isalpha, text.decode()))
+
+
+def with_letters(documents: DataFrame) -> DataFrame:
+    """The rows whose text has a letter: those that a model would give a language."""
+
+    def of(batches):
+        for batch in batches:
+            yield batch.filter(pa.array([_has_letter(text) for _, text in _texts(batch.column("text"))], pa.bool_()))
+
+    return documents.mapInArrow(of, documents.schema)
+
+
 def _cut(data: np.ndarray) -> np.ndarray:
     """Windows of a text; the last one is filled up with zeros."""
     n = max(1, -(-len(data) // WINDOW))
@@ -185,7 +199,7 @@ def predicted(documents: DataFrame, model: Model | None) -> DataFrame:
 
             for i, text in _texts(batch.column("text")):
                 data = np.frombuffer(text, np.uint8)
-                if model is None or not (_LETTER[data].any() or any(map(str.isalpha, text.decode()))):
+                if model is None or not _has_letter(text):
                     continue
                 rows.append(i)
                 parts.append(_cut(data))
