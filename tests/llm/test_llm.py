@@ -105,6 +105,17 @@ def test_ngram_join_of_a_drifting_group(spark, monkeypatch):
     assert got == _components(dict(rows), 4, 85, 100)
 
 
+def test_ngram_join_of_a_key_probed_in_another_part(spark):
+    """Sets that left out a frequent key meet, by its leader, those that probe it in other parts."""
+    index, both, probe = ngram_join._INDEX, ngram_join._BOTH, ngram_join._PROBE
+    rows = [(5, 4 * part + ngram_join._PLANTED, 1) for part in (1, 2, 3)]
+    rows += [(5, 4 + index, 2), (5, 4 + index, 3), (5, 8 + probe, 4), (5, 12 + both, 6)]
+    rows += [(7, index, 2), (7, index, 3), (8, index, 2), (8, probe, 4)]
+    df = spark.createDataFrame(rows, "key long, tag int, node long")
+    got = {(r.key, r.node, r.leader) for r in ngram_join.shared_rows(df).collect()}
+    assert got == {(5, 2, 1), (5, 3, 1), (5, 4, 1), (5, 6, 1), (8, 4, 2)}
+
+
 def test_ngram_join_odd_inputs(odd, empty):
     got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(odd).collect())
     assert got[(1, 0, 1)] == got[(2, 0, 2)] == got[(3, 0, 3)] == 1

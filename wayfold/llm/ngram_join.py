@@ -218,7 +218,10 @@ def _frequent(sets: DataFrame, plan: Plan, rows: int) -> dict[int, int]:
 
 
 def shared_rows(rows: DataFrame) -> DataFrame:
-    """(key, node, leader) of the rows that several sets share and one of them probes."""
+    """(key, node, leader) of the rows that several sets share and one of them probes.
+
+    Of keys in parts, all rows: what a part holds does not say whether a set of another part probes.
+    """
 
     def of(batches):
         key = leader = last = None
@@ -244,8 +247,8 @@ def shared_rows(rows: DataFrame) -> DataFrame:
                 if node in (leader, last):
                     continue
                 last = node
-                if role in (_PLANTED, _INDEX):
-                    # Needed only if a probe follows.
+                # Needed only if a probe follows; of a key in parts the probe may be in another part.
+                if role in (_PLANTED, _INDEX) and not t >> 2:
                     waiting.append(node)
                     if len(waiting) < 4096:
                         continue
