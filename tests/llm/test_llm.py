@@ -302,6 +302,15 @@ def test_token_scan(spark, folder, docs, odd, empty, tmp_path):
     assert [r.n_tokens for r in counts] == [*lengths, 2] and [r.number for r in counts] == list(range(301))
 
 
+def test_token_counts_of_texts_with_separators(spark):
+    ids = tokenizer(default_path()).ids
+    texts = ["a<|endoftext|>b <|endoftext|>", "<|endoftext|>", "plain words", None, "<|endoftext|><|endoftext|> end"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r.n_tokens for r in token_scan.document_token_counts(df).collect()}
+    assert got == {i: len(ids(t)) // 4 for i, t in enumerate(texts)}
+    assert got[1] == 1 and got[4] == 3
+
+
 def _packed_well(rows, capacity=2048):
     by = {}
     for r in rows:

@@ -35,14 +35,15 @@ def read_flat_files(spark: SparkSession, path: str, kind: str = "<u2", block: in
 def flat_streams(documents: DataFrame, path: str, block: int = BLOCK) -> DataFrame:
     """Documents as flat token streams, one per task, cut into blocks wherever they fall.
 
-    (stream, block, ids, docs): ids of two bytes each, and the numbers of the documents that end in the block.
+    (stream, block, ids, docs, left_out): ids of two bytes each, the numbers of the documents that end in the
+    block, and how many ids of each were left out, as they equal the separator and would end the document.
     """
 
     def of(batches):
         ids_of = tokenizer(path).ids
         stream = str(TaskContext.get().partitionId())
         size, number = 2 * block, 0
-        held, docs = bytearray(), []
+        held, docs, left_out = bytearray(), [], []
         ends: list[int] = []  # where in `held` the documents of docs end
 
         def row(part: bytes, ended: int):
@@ -53,28 +54,30 @@ def flat_streams(documents: DataFrame, path: str, block: int = BLOCK) -> DataFra
                     pa.array([number], pa.int32()),
                     pa.array([part], pa.binary()),
                     pa.array([docs[:ended]], pa.list_(pa.int64())),
+                    pa.array([left_out[:ended]], pa.list_(pa.int64())),
                 ],
-                ["stream", "block", "ids", "docs"],
+                ["stream", "block", "ids", "docs", "left_out"],
             )
             number += 1
             return out
 
         for batch in batches:
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                # Ids of an ordinary text that equal the separator would end it: they are left out.
                 ids = np.frombuffer(ids_of(text.as_py()), np.uint32)
-                held += ids[ids != SEPARATOR].astype("<u2").tobytes() + SEPARATOR.to_bytes(2, "little")
+                kept = ids[ids != SEPARATOR]
+                held += kept.astype("<u2").tobytes() + SEPARATOR.to_bytes(2, "little")
                 docs.append(doc)
+                left_out.append(len(ids) - len(kept))
                 ends.append(len(held))
                 while len(held) >= size:
                     ended = int(np.searchsorted(ends, size, "right"))
                     yield row(bytes(held[:size]), ended)
                     del held[:size]
-                    docs, ends = docs[ended:], [e - size for e in ends[ended:]]
+                    docs, left_out, ends = docs[ended:], left_out[ended:], [e - size for e in ends[ended:]]
         if held:
             yield row(bytes(held), len(docs))
 
-    return documents.select("doc_id", "text").mapInArrow(of, "stream string, block int, ids binary, docs array<long>")
+    return documents.select("doc_id", "text").mapInArrow(of, "stream string, block int, ids binary, docs array<long>, left_out array<long>")
 
 
 def found_separators(blocks: DataFrame, separator: int = SEPARATOR, kind: str = "<u2") -> DataFrame:
@@ -138,10 +141,12 @@ def token_counts(blocks: DataFrame, separator: int = SEPARATOR, kind: str = "<u2
 def document_token_counts(documents: DataFrame, path: str | None = None) -> DataFrame:
     """(doc_id, n_tokens) of each text: written as flat streams, then counted by a scan of those.
 
-    Null and empty texts have no tokens. Repeated rows are counted each.
+    Null and empty texts have no tokens. Repeated rows are counted each. Ids of a text that equal the
+    separator count as its tokens.
     """
     writer = flat_streams(documents, path or default_path())
     streams = saved(writer)
     counts = token_counts(streams.select("stream", "block", "ids"))
-    ended = streams.select("stream", "block", F.posexplode("docs").alias("place", "doc_id"))
-    return ended.join(counts, ["stream", "block", "place"]).select("doc_id", "n_tokens")
+    ended = streams.select("stream", "block", F.posexplode(F.arrays_zip("docs", "left_out")).alias("place", "doc"))
+    found = ended.join(counts, ["stream", "block", "place"])
+    return found.select(F.col("doc.docs").alias("doc_id"), (F.col("n_tokens") + F.col("doc.left_out")).alias("n_tokens"))
