@@ -429,3 +429,48 @@ def test_pipeline_of_unlabelled_documents(spark, folder, odd):
     out = p.language(spark, rows, folder)
     assert out.columns == rows.columns and out.where("lang is not null").count() == 0
     assert Counter(r.doc_id for r in out.collect()) == Counter([4, 5, 6, 6, None, 8])
+
+
+def _cleaned(text, windows):
+    """The text without the words of benchmark windows and what separates them, or None if they are half of its words."""
+    found = list(re.finditer(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", text or ""))
+    lower = [re.sub("[A-Z]", lambda m: m[0].lower(), m[0]) for m in found]
+    hit = set()
+    for size in {len(w) for w in windows}:
+        for i in range(len(lower) - size + 1):
+            if tuple(lower[i : i + size]) in windows:
+                hit.update(range(i, i + size))
+    if hit and 100 * len(hit) >= 50 * len(lower):
+        return None
+    ends = [0, *(m.end() for m in found)]
+    return "".join(text[ends[i] : ends[i + 1]] for i in range(len(found)) if i not in hit) + (text or "")[ends[-1] :] if hit else text
+
+
+def test_pipeline_ends_as_brute_force(spark, folder, docs):
+    """Decontamination and packing against plain Python, on texts that only the stages before them chose."""
+    import corpus_pipeline as p
+
+    before = docs
+    for _, stage in p.STAGES[:3]:
+        before = spark.createDataFrame(stage(spark, before, folder).collect(), docs.schema)
+    windows = set()
+    for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect():
+        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), r.text or ""))
+        windows |= {tuple(w[i : i + 10]) for i in range(max(1, len(w) - 9)) if w}
+    given = _texts(before)
+    want = {i: t for i, t in ((i, _cleaned(t, windows)) for i, t in given.items()) if t is not None}
+    assert len(want) < len(given) or any(want[i] != given[i] for i in want)
+    after = p.benchmark(spark, before, folder).collect()
+    assert {r.doc_id: r.text for r in after} == want
+    assert all(r.n_chars == len(r.text) for r in after if r.text != given[r.doc_id])
+    ids = tokenizer(default_path()).ids
+    pieces = {}
+    for i, text in want.items():
+        own = ids(text) + bytes(4)
+        for k, a in enumerate(range(0, len(own), 8192)):
+            part = own[a : a + 8192]
+            pieces[i, k] = (a // 4, len(part) // 4, zlib.crc32(part))
+    rows = p.run(spark, folder).collect()
+    assert len(rows) == len(pieces)
+    assert {(r.doc_id, r.piece): (r.start, r.length, r.ids_crc32) for r in rows} == pieces
+    _packed_well(rows)
