@@ -218,6 +218,16 @@ def test_html_page(spark, folder):
     assert html_main.fit(df.where("false")) is None and html_main.extracted(df.where("false"), None).count() == 0
 
 
+def test_html_fragments(spark, folder):
+    """Text at the top of a page without a wrapper is judged by the trees as any other."""
+    trees = html_main.fit(spark.read.parquet(f"{folder}/pages.parquet"))
+    intro, more = ("The report was published in spring and gives the figures of the whole year. " * 3).strip(), "More text follows after it, " * 6
+    rows = [(1, "u", f"{intro} <p>A paragraph of the text with some words.</p> {more}"), (2, "u", intro)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_main.extracted(df, trees).collect()}
+    assert got == {1: f"{intro}\nA paragraph of the text with some words.\n{more.strip()}", 2: intro}
+
+
 def test_html_of_given_pages(spark, folder):
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{folder}/pages.parquet").collect()}
     for r in queries.op5_html_extraction(spark, folder).collect():

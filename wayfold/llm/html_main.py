@@ -8,7 +8,8 @@ ancestor was left out for good, so an article cannot hold a menu's parts, nor a
 
 The trees learn from a bounded sample of pages, whose elements are labelled by their mark-up:
 inside an article or main element, and not inside an element of a fixed list of tags and names.
-Each page is also used in a varied form, with notices, adverts and the like inside its article.
+Each page is also used in a varied form, with notices, adverts and the like inside its article, and as
+a fragment, the contents of its article without a wrapper, so that text at the top of a page can be in.
 """
 
 from __future__ import annotations
@@ -226,6 +227,17 @@ def varied(page: str) -> str:
     return page
 
 
+def fragment(page: str) -> str:
+    """The contents of a page's article without a wrapper, some of its paragraphs as bare text; empty if it has none."""
+    found = re.search(r"<article[^>]*>(.*?)</article>", page, re.S)
+    if not found:
+        return ""
+    rng = np.random.default_rng(zlib.crc32(page.encode()) + 1)
+    parts = re.split(r"(<p[\s>].*?</p>)", found[1], flags=re.S)[: int(rng.integers(2, 40))]
+    bare = rng.random() if rng.random() < 0.7 else 1.0
+    return "".join(re.sub(r"^<p[^>]*>|</p>$", " ", x) if x.startswith("<p") and rng.random() < bare else x for x in parts)
+
+
 @dataclass
 class Trees:
     """Boosted regression trees as arrays; a node's children are 2 i + 1 and 2 i + 2."""
@@ -287,12 +299,13 @@ def decoded(nodes: list[Node], odds: np.ndarray) -> np.ndarray:
     inside = gain.copy()  # of a whole subtree that is in, less parts that go out
     best = np.zeros(len(nodes))
     for i in range(len(nodes) - 1, 0, -1):
-        # Within an article a subtree may be left out; outside one a subtree may be an article.
+        # Within an article a subtree may be left out; outside one a subtree may be an article, the root's as well.
         inside[i] = max(inside[i], 0.0)
         best[i] = max(best[i], inside[i])
         inside[nodes[i].parent] += inside[i]
         best[nodes[i].parent] += best[i]
     state = np.zeros(len(nodes), np.int8)  # 0 above the article, 1 in it, 2 left out
+    state[0] = inside[0] > 0 and inside[0] >= best[0]
     for i, n in enumerate(nodes[1:], 1):
         above = state[n.parent]
         if above == 2:
@@ -352,13 +365,16 @@ def fit(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> Trees | None:
     def of(batches):
         for batch in batches:
             rows, labels = [], []
-            for page in (p for value in batch.column("html") for p in (value.as_py(), varied(value.as_py()))):
+            pages = (value.as_py() for value in batch.column("html"))
+            for page, whole in ((p, w) for page in pages for p, w in ((page, True), (varied(page), True), (fragment(page), False)) if p):
                 nodes = parsed(page)
                 own = measured(nodes)
+                # All of a fragment is article, but for what tags and names exclude.
+                label = labelled(nodes, own) if whole else (own[:, -2] == 0) & (own[:, -1] == 0)
                 # Long pages teach as much as short ones: every k-th element, about 60 in all.
                 keep = slice(None, None, max(1, len(nodes) // 60))
                 rows += own[keep].tolist()
-                labels += labelled(nodes, own)[keep].tolist()
+                labels += label[keep].tolist()
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float32())), pa.array(labels, pa.bool_())], ["row", "label"])
 
     table = sample.mapInArrow(of, "row array<float>, label boolean").toArrow()
@@ -375,7 +391,7 @@ def _pages(column: pa.Array) -> Iterator[str]:
 def extracted(pages: DataFrame, trees: Trees | None) -> DataFrame:
     """(page_id, url, text, n_chars) of each row of (page_id, url, html).
 
-    Null and empty pages, and pages without an article, have an empty text. Repeated rows give a row
+    Null and empty pages, and pages of whose elements (the root is one) the trees take none, have an empty text. Repeated rows give a row
     each; an empty table gives an empty result; other columns are ignored.
     """
 
