@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from . import (
     decontaminate,
+    embedding_dups,
+    hard_negatives,
     html_main,
     language_id,
     license_scan,
@@ -17,6 +19,7 @@ from . import (
     ordinal_quality,
     packing,
     quality_rules,
+    token_align,
     token_scan,
     toxicity,
 )
@@ -103,6 +106,20 @@ def op10_language_id(spark, folder):
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op11_embedding_dups(spark, folder):
+    return embedding_dups.near_duplicates(_table(spark, folder, "embeddings"), 0.98)
+
+
+def op12_token_align(spark, folder):
+    return token_align.alignment(_table(spark, folder, "documents").withColumn("doc_id", F.col("doc_id").cast("long")))
+
+
+def op13_hard_negatives(spark, folder):
+    rows = _table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_toxicity": op2_toxicity,
@@ -114,6 +131,9 @@ QUERIES: dict[str, Query] = {
     "op8_token_counts": op8_token_counts,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_language_id": op10_language_id,
+    "op11_embedding_dups": op11_embedding_dups,
+    "op12_token_align": op12_token_align,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 _OP3 = r"""
@@ -169,7 +189,50 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM f
 """
 
+_OP11 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+reached AS (
+  SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+c AS (SELECT a, min(b) AS smallest FROM reached GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, coalesce(smallest, vec_id) AS component_id,
+  coalesce(smallest, vec_id) IS NOT DISTINCT FROM vec_id AS kept
+FROM embeddings LEFT JOIN c ON vec_id = c.a LEFT JOIN n ON vec_id = n.a
+"""
+
+_OP13 = """
+WITH v AS (
+  SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+    CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)),
+p AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank,
+  other_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT same
+  AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id) <= 10
+"""
+
 ORACLES: dict[str, str] = {
     "op3_decontamination": _OP3,
     "op6_quality_rules": _OP6,
+    "op11_embedding_dups": _OP11,
+    "op13_hard_negatives": _OP13,
 }
