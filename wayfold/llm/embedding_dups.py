@@ -204,6 +204,7 @@ class _Links:
 
 def _verified(kind: str, plan: Hashing):
     """Gathers the rows of whole groups; groups are next to each other."""
+    enough = ROWS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         links, waiting = _Links(kind, plan), []
@@ -219,7 +220,7 @@ def _verified(kind: str, plan: Hashing):
                 group[i] = count
             kept = batch.select(["tab", "side", "node", "copies", "vec", "signs"])
             waiting.append(pa.table([*kept.columns, pa.array(group)], [*kept.schema.names, "group"]))
-            if sum(map(len, waiting)) >= ROWS:
+            if sum(map(len, waiting)) >= enough:
                 rows = pa.concat_tables(waiting)
                 ended = int(np.searchsorted(rows["group"].to_numpy(), count))
                 if ended:

@@ -44,6 +44,7 @@ class Mining:
 
 def _packed(plan: Mining, parts: int, limits: bool):
     """Packs rows (block, vec_id, label, vector[, low, high]) into pieces."""
+    piece = PIECE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -53,8 +54,8 @@ def _packed(plan: Mining, parts: int, limits: bool):
                 small = np.abs(whole).max() <= 32767
                 for b in np.unique(block[places]).tolist():
                     mine = np.flatnonzero(block[places] == b)
-                    for at in range(0, len(mine), PIECE):
-                        some = mine[at : at + PIECE]
+                    for at in range(0, len(mine), piece):
+                        some = mine[at : at + piece]
                         rows = places[some]
                         values = whole[some].astype(np.int16) if small else whole[some]
                         columns = [
@@ -76,7 +77,8 @@ def _packed(plan: Mining, parts: int, limits: bool):
 class _Block:
     """The anchors of a block and the best rows of their slots so far."""
 
-    def __init__(self, pieces: list, length: int, slots: int, wanted: int, same: bool):
+    def __init__(self, pieces: list, length: int, slots: int, wanted: int, same: bool, at_once: int):
+        self.at_once = at_once
         self.ids, self.labels = (np.concatenate([p[i] for p in pieces]) for i in (0, 1))
         self.whole = np.concatenate([p[2] for p in pieces])
         n = len(self.ids)
@@ -100,8 +102,8 @@ class _Block:
     def meet(self, ids: np.ndarray, labels: np.ndarray, whole: np.ndarray) -> None:
         kind = self._kind(whole)
         right = whole.astype(kind).T
-        for at in range(0, len(self.ids), AT_ONCE):
-            own = slice(at, at + AT_ONCE)
+        for at in range(0, len(self.ids), self.at_once):
+            own = slice(at, at + self.at_once)
             scores = self.whole[own].astype(kind) @ right
             match = self.labels[own][:, None] == labels
             if self.same:
@@ -135,8 +137,8 @@ class _Block:
         self.score[at + some, s], self.found[at + some, s] = score[best], who[best]
 
     def result(self) -> Iterator[pa.RecordBatch]:
-        for at in range(0, len(self.ids), AT_ONCE):
-            a, s, k = np.nonzero(self.score[at : at + AT_ONCE] > -np.inf)
+        for at in range(0, len(self.ids), self.at_once):
+            a, s, k = np.nonzero(self.score[at : at + self.at_once] > -np.inf)
             columns = [self.ids[at + a], s.astype(np.int32), self.found[at + a, s, k], self.score[at + a, s, k].astype(np.int64)]
             yield pa.record_batch([pa.array(c) for c in columns], ["anchor_id", "slot", "other_id", "score"])
 
@@ -144,6 +146,7 @@ class _Block:
 def _met(plan: Mining, same: bool):
     """Streams pieces by (length, block, part), a block's anchors (side 0) first."""
     slots, wanted = (1, plan.positives) if same else (plan.positives, plan.wanted)
+    at_once = AT_ONCE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, anchors, block = None, [], None
@@ -161,7 +164,7 @@ def _met(plan: Mining, same: bool):
                     anchors.append((ids, labels, whole, *limits))
                 elif anchors:
                     if block is None:
-                        block = _Block(anchors, row["length"], slots, wanted, same)
+                        block = _Block(anchors, row["length"], slots, wanted, same, at_once)
                     block.meet(ids, labels, whole)
         if block is not None:
             yield from block.result()

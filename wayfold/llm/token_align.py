@@ -238,8 +238,8 @@ class _Column:
 class _Units:
     """The different units that a task has met, and their links; `held` adds what the corpus knows of them."""
 
-    def __init__(self, v: Vocabularies, held: Corpus | None = None):
-        self.v, self.held = v, held
+    def __init__(self, v: Vocabularies, held: Corpus | None = None, limit: int = TABLE_LINKS):
+        self.v, self.held, self.limit = v, held, limit
         self.clear()
 
     def clear(self) -> None:
@@ -252,7 +252,7 @@ class _Units:
 
     @property
     def full(self) -> bool:
-        return self.a.size > TABLE_LINKS
+        return self.a.size > self.limit
 
     def rows(self, some: list[str]) -> list[np.ndarray]:
         """Numbers of the units of each piece."""
@@ -295,24 +295,25 @@ class _Units:
             self.groups += found.groups
 
 
-def _steps(texts: list[str | None]) -> Iterator[list[tuple[int, str]]]:
-    """(number of the text, piece) of texts that are not empty, about PIECE characters at once."""
+def _steps(texts: list[str | None], most: int) -> Iterator[list[tuple[int, str]]]:
+    """(number of the text, piece) of texts that are not empty, about `most` characters at once."""
     step, size = [], 0
     for i, text in enumerate(texts):
-        for piece in pieces(text) if text else ():
+        for piece in pieces(text, most) if text else ():
             step.append((i, piece))
             size += len(piece)
-            if size >= PIECE:
+            if size >= most:
                 yield step
                 step, size = [], 0
     if step:
         yield step
 
 
-def _plain(table: _Units, text: str) -> bool:
+def _plain(table: _Units, text: str, most: int) -> bool:
     """Whether a text of several pieces has the bytes of its tokens."""
-    for piece in pieces(text):
-        if not table.ok.all[table.rows([piece])[0]].all():
+    for piece in pieces(text, most):
+        row = table.rows([piece])[0]
+        if not table.ok.all[row].all():
             return False
         if table.full:
             table.clear()
@@ -324,6 +325,7 @@ def _counted(files: Files):
 
     Tokens that are not the text's bytes are fewer bytes, so a text is whole if all its units are.
     """
+    most, limit = PIECE, TABLE_LINKS
 
     def told(table: _Units, times: np.ndarray) -> pa.RecordBatch:
         a, b, regular = table.a.all, table.b.all, table.regular.all
@@ -344,15 +346,15 @@ def _counted(files: Files):
         return pa.record_batch(columns, ["a", "b", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, times = _Units(vocabularies(files)), _Column(np.int64)
+        table, times = _Units(vocabularies(files), None, limit), _Column(np.int64)
         for batch in batches:
             texts = batch.column(0).to_pylist()
-            long = {i for i, t in enumerate(texts) if t and len(t) > PIECE}
+            long = {i for i, t in enumerate(texts) if t and len(t) > most}
             if long:
                 # Several pieces: find out first whether the text is whole, with a table of its own.
-                apart = _Units(table.v)
-                texts = [t if i not in long or _plain(apart, t) else None for i, t in enumerate(texts)]
-            for step in _steps(texts):
+                apart = _Units(table.v, None, limit)
+                texts = [t if i not in long or _plain(apart, t, most) else None for i, t in enumerate(texts)]
+            for step in _steps(texts, most):
                 rows = [r for r in table.rows([piece for _, piece in step]) if table.ok.all[r].all()]
                 times.append(np.zeros(table.ok.size - times.size, np.int64))
                 if rows:
@@ -405,12 +407,13 @@ class _Told:
 
 def _described(files: Files, corpus):
     """Per text the columns, and the pairs whose counts are not at hand, each with its number of links."""
+    most, limit = PIECE, TABLE_LINKS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _Units(vocabularies(files), corpus.value)
+        table = _Units(vocabularies(files), corpus.value, limit)
         for batch in batches:
             told = [_Told() for _ in range(len(batch))]
-            for step in _steps(batch.column(1).to_pylist()):
+            for step in _steps(batch.column(1).to_pylist(), most):
                 for (i, _), row in zip(step, table.rows([piece for _, piece in step])):
                     told[i].add(table, row)
                 if table.full:
