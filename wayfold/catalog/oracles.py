@@ -142,7 +142,7 @@ _BASE = {
       FROM (SELECT *, lead(timestamp) OVER w AS nt, lead(latitude) OVER w AS nlat, lead(longitude) OVER w AS nlon
             FROM pos WINDOW w AS (PARTITION BY traj_id ORDER BY ord))
       WHERE ord%12=0 AND nt IS NOT NULL""",
-    "pth": "SELECT traj_id, point_id, ord, latitude, longitude, timestamp FROM pos WHERE ord%3=1",
+    "pth": "SELECT traj_id, point_id, ord, latitude, longitude, timestamp FROM pos",
     "lay": """SELECT traj_id, 'positions' AS label, latitude, longitude, timestamp FROM pos
       UNION ALL SELECT traj_id, 'paths', latitude, longitude, timestamp FROM pth
       UNION ALL SELECT traj_id, 'visits', latitude, longitude, NULL FROM vis
@@ -304,8 +304,8 @@ _SELECTS = {
     "rejected_documents": """SELECT traj_id, 'read' AS what, count(*) AS n FROM pos WHERE traj_id%5 NOT IN (1, 3) GROUP BY traj_id
       UNION ALL SELECT traj_id, CASE WHEN traj_id%5=1 THEN 'not a JSON document' ELSE 'a field of the wrong type' END,
       count(DISTINCT (ord-1)//12) FROM pos WHERE traj_id%5 IN (1, 3) GROUP BY traj_id""",
-    "stored_clusters": f"""SELECT traj_id, {_us("timestamp")}, cluster_id FROM p_label WHERE traj_id%10 <> 0
-      UNION ALL SELECT traj_id, {_us("timestamp")}, NULL FROM pos WHERE traj_id%10 = 0 AND ord <= 2""",
+    "stored_clusters": f"""SELECT traj_id, {_us("timestamp")}, cluster_id FROM p_label
+      UNION ALL SELECT -traj_id-1, {_us("timestamp")}, NULL FROM pos WHERE traj_id%10 = 0 AND ord <= 2""",
     "parse_latlng": """SELECT point_id, CASE WHEN point_id%4 < 3 THEN round(latitude,7) END AS latitude,
       CASE WHEN point_id%4 <> 2 THEN round(longitude,7) END AS longitude FROM pos""",
     "parse_timestamp": "SELECT point_id, CASE WHEN point_id%3=0 THEN epoch_us(timestamp)//1000*1000 END AS timestamp_us FROM ev",
@@ -319,6 +319,10 @@ _SELECTS = {
     "coordinate_violations": f"""SELECT count(*) FILTER (WHERE {_RULES['latitude: range']}) AS bad_latitude,
       count(*) FILTER (WHERE {_RULES['longitude: range']}) AS bad_longitude FROM bad""",
     "roundtrip_positions": f"SELECT {_rounded(9, 'latitude', 'longitude')}, accuracy, {_us('timestamp')} FROM pos",
+    "stored_ranges": f"""SELECT traj_id, 'position' AS what, {_us('timestamp', 'start_us')}, {_us('timestamp', 'end_us')}
+      FROM pos WHERE {_POINT} UNION ALL SELECT traj_id, 'visit', {_us('start_time', 'start_us')}, {_us('end_time', 'end_us')}
+      FROM vis WHERE {_INTERVAL}""",
+    "stored_rejected": f"SELECT point_id, concat_ws('; ', {_BROKEN}) AS reasons FROM bad",
     "filter_points": f"SELECT traj_id, point_id, {_us('timestamp')} FROM pos WHERE {_POINT}",
     "filter_intervals": f"""SELECT traj_id, {_us('start_time')}, {_us('end_time')}, semantic_type FROM vis
       WHERE {_INTERVAL}""",
@@ -346,4 +350,7 @@ _SELECTS = {
       GROUP BY traj_id, label""",
 }
 
+_SELECTS["store_all_counts"] = _SELECTS["extract_counts"]
+_SELECTS["stored_report"] = _SELECTS["validation_report"]
+
 ORACLES = {name: _sql(select) for name, select in _SELECTS.items()}

@@ -13,6 +13,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import parsing, timeops
 from ..functions.geo import haversine
@@ -267,11 +268,11 @@ def pipeline_summary(spark, folder):
 
 
 def stored_clusters(spark, folder):
-    """The pipeline stored and read back; trajectories cut to two rows cannot be clustered and stay without clusters."""
+    """The pipeline stored and read back; the first rows of some trajectories, copied as short ones, stay without clusters."""
     points, blocks = derived.positions(spark, folder)
-    points = points.where((F.col("traj_id") % 10 != 0) | (F.col("ord") <= 2))
-    result = pipeline.run_pipeline(points, block_rows=blocks)
-    target = os.path.join(shared_folder(spark), f"result-{uuid.uuid4().hex}")
+    short = points.where((F.col("traj_id") % 10 == 0) & (F.col("ord") <= 2)).withColumn("traj_id", -F.col("traj_id") - 1)
+    result = pipeline.run_pipeline(points.unionByName(short), block_rows=blocks)
+    target = _target(spark, "result")
     kind = points.schema["traj_id"].dataType
     pipeline.store_result(result, target, kind)
     clustered = tables.load_table(spark, f"{target}/clustered_positions", tables.keyed(CLUSTERED_POSITIONS, traj_id=kind))
@@ -449,12 +450,71 @@ def coordinate_violations(spark, folder):
 def roundtrip_positions(spark, folder):
     """Positions written as CSV with checks, and read back with checks."""
     points, _ = derived.positions(spark, folder)
-    target = os.path.join(shared_folder(spark), f"positions-{uuid.uuid4().hex}")
+    target = _target(spark, "positions")
     tables.save_table(points.select(*RAW_POSITIONS.columns), target, RAW_POSITIONS, "csv")
     back = tables.load_table(spark, target, RAW_POSITIONS, "csv")
     return back.select(_m("latitude", 9), _m("longitude", 9), "accuracy", _us("timestamp"))
 
 
+def _target(spark, name):
+    return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def store_all_counts(spark, folder):
+    """Documents written as files, some thousand to a file, extracted and stored by one parse; rows read back."""
+    *four, _ = _all_tables(spark, folder)
+    texts = saved(documents.all_documents(*four))
+    files, out = _target(spark, "documents"), _target(spark, "stored")
+    number = F.pmod(F.xxhash64("traj_id", "text"), F.lit(1 + texts.count() // 2000))
+    lists = texts.groupBy(number.alias("part")).agg(F.array_join(F.collect_list("text"), ",").alias("text"))
+    lists.select("part", F.concat(F.lit("["), "text", F.lit("]")).alias("text")).write.partitionBy("part").text(files)
+    pipeline.store_all(spark, f"{files}/*/*.txt", out)
+    union = None
+    for table in timeline_json.READERS:
+        rows = tables.load_table(spark, f"{out}/{table.name}", tables.keyed(table, traj_id=T.StringType()))
+        one = rows.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(table.name).alias("table_name"), "row_count")
+        union = one if union is None else union.unionByName(one)
+    return union
+
+
+def stored_ranges(spark, folder):
+    """Positions and visits stored by day and read back for one range of local time."""
+    points, _ = derived.positions(spark, folder)
+    points = saved(points)
+    kind = points.schema["traj_id"].dataType
+    out, raw, visits = _target(spark, "days"), tables.keyed(RAW_POSITIONS, traj_id=kind), tables.keyed(VISITS, traj_id=kind)
+    parts = {
+        "raw_positions": tables.Part(points.select(raw.columns), raw, "timestamp"),
+        "visits": tables.Part(derived.visits(points).select(visits.columns), visits, "start_time"),
+    }
+    tables.save_tables(spark, out, parts)
+    found = tables.load_range(spark, f"{out}/raw_positions", raw, *RANGE)
+    spans = tables.load_range(spark, f"{out}/visits", visits, *RANGE)
+    at = _us("timestamp", "start_us"), _us("timestamp", "end_us")
+    return found.select("traj_id", F.lit("position").alias("what"), *at).unionByName(
+        spans.select("traj_id", F.lit("visit").alias("what"), _us("start_time", "start_us"), _us("end_time", "end_us"))
+    )
+
+
+def stored_report(spark, folder):
+    """How many rows break each rule, counted while the rows are stored."""
+    out = _target(spark, "faulty")
+    faulty = _faulty(spark, folder).select(RAW_POSITIONS.columns)
+    counts = tables.save_tables(spark, out, {"faulty": tables.Part(faulty, RAW_POSITIONS, "timestamp", strict=False)})
+    return spark.createDataFrame(sorted(counts["faulty"].items()), "rule string, bad_rows bigint")
+
+
+def stored_rejected(spark, folder):
+    """Rows kept apart when they were stored, and the others, read back."""
+    table = tables.keyed(RAW_POSITIONS, point_id=T.LongType())
+    out = _target(spark, "faulty")
+    faulty = _faulty(spark, folder).select(table.columns)
+    tables.save_tables(spark, out, {"faulty": tables.Part(faulty, table, "timestamp", strict=False)})
+    good = tables.load_table(spark, f"{out}/faulty", table)
+    bad = tables.load_rejected(spark, f"{out}/faulty", table)
+    return good.select("point_id", F.lit("").alias("reasons")).unionByName(bad.select("point_id", "reasons"))
+
+
 # --- ranges and layers ----------------------------------------------------------------
 
 
@@ -566,6 +626,10 @@ QUERIES: dict[str, Query] = {
             validation_report,
             coordinate_violations,
             roundtrip_positions,
+            store_all_counts,
+            stored_ranges,
+            stored_report,
+            stored_rejected,
             filter_points,
             filter_intervals,
             activity_start_points,

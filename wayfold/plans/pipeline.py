@@ -25,11 +25,10 @@ from ..operators.knn import spatial_k_distances
 from ..operators.layers import layer_union
 from ..operators.ordered import BLOCK_ROWS, ranked
 from ..operators.segments import gap_distances, jump_segments, remove_jumps, segment_context, segment_means, with_segments
-from ..operators.validate import split_rows
-from ..schemas import CLUSTERED_POSITIONS, RAW_POSITIONS
+from ..schemas import ALL_JSON, CLUSTERED_POSITIONS, RAW_POSITIONS
 from ..session import saved
-from ..sources.tables import keyed, save_table
-from ..sources.timeline_json import READERS, read_documents, rejected_documents
+from ..sources.tables import Part, keyed, save_tables
+from ..sources.timeline_json import READERS, all_rows, read_documents, rejected_documents
 
 LABELS = ("positions", "paths", "visits", "activities")
 USABLE = "usable"
@@ -136,36 +135,61 @@ def run_pipeline(
     return Result(cleaned, tuned, saved(cluster_tuned(tuned, block_rows)))
 
 
+# Which time splits a stored table into days.
+DAY_OF = {t.name: "timestamp" if "timestamp" in t.columns else "start_time" for t in READERS}
+
+
+def store_rows(
+    spark: SparkSession, documents: DataFrame, folder: str, key: T.DataType, format: str = "parquet", strict: bool = True
+) -> dict[str, dict[str, int]]:
+    """Store the four tables of documents (traj_id, and the parts of `ALL_JSON`) that are parsed once.
+
+    The parsed rows of all tables are written once, split by table, and stored from there with one commit, by
+    day. Returns how many rows break each rule, by table, if not `strict`.
+    """
+    rows = saved(all_rows(documents, strict), split_by="table_name")
+    parts = {}
+    for table in READERS:
+        own = keyed(table, traj_id=key)
+        parts[table.name] = Part(
+            rows.where(F.col("table_name") == table.name).select(own.columns), own, DAY_OF[table.name], strict
+        )
+    return save_tables(spark, folder, parts, format)
+
+
 def store_all(
     spark: SparkSession, documents: str | list[str], folder: str, format: str = "parquet", strict: bool = True
-) -> None:
+) -> dict[str, dict[str, int]]:
     """Extract the four tables of the documents, check them and store each as `folder`/<table>, by day.
 
-    With `strict` any bad document or row fails the run. Otherwise bad rows go, with reasons, to
-    `folder`/<table>_rejected and unreadable documents to `folder`/<table>_unreadable.
+    With `strict` any bad document or row fails the run, and the tables stay as they were. Otherwise rows that break
+    a rule are kept apart (`load_rejected`) and counted in the result, and documents that don't parse, or have
+    a field of the wrong type in any part, give no rows and go to `folder`/<table>_unreadable.
     """
-    for table, (schema, flatten) in READERS.items():
-        read = read_documents(spark, documents, schema, strict)
-        key = keyed(table, traj_id=T.StringType())
-        rows = flatten(read, strict)
-        if not strict:
-            rows, rejected = split_rows(rows, key)
-            rejected.write.mode("overwrite").parquet(f"{folder}/{table.name}_rejected")
-            rejected_documents(read).write.mode("overwrite").parquet(f"{folder}/{table.name}_unreadable")
-        day = "timestamp" if "timestamp" in table.columns else "start_time"
-        save_table(rows, f"{folder}/{table.name}", key, format, by_day=day)
+    read = read_documents(spark, documents, ALL_JSON, strict)
+    if not strict:
+        # The files are read and parsed once: what they hold, and what could not be read.
+        read = saved(read)
+        unreadable = saved(rejected_documents(read))
+        for table in READERS:
+            unreadable.write.mode("overwrite").parquet(f"{folder}/{table.name}_unreadable")
+    return store_rows(spark, read, folder, T.StringType(), format, strict)
 
 
 def store_result(result: Result, folder: str, traj_type: T.DataType, format: str = "parquet") -> None:
-    """Store cleaned positions, clustered positions, and the rows of trajectories that could not be clustered."""
+    """Store cleaned positions, clustered positions, and the rows of trajectories that could not be clustered.
+
+    All three change together.
+    """
     cleaned = keyed(RAW_POSITIONS, traj_id=traj_type)
     clustered = keyed(CLUSTERED_POSITIONS, traj_id=traj_type)
     known = F.col("status") == USABLE
-    save_table(result.cleaned.points.select(cleaned.columns), f"{folder}/cleaned_positions", cleaned, format)
-    save_table(
-        result.clustered.where(known).select(clustered.columns), f"{folder}/{CLUSTERED_POSITIONS.name}", clustered, format
-    )
-    save_table(result.clustered.where(~known).select(cleaned.columns), f"{folder}/unclustered_positions", cleaned, format)
+    parts = {
+        "cleaned_positions": Part(result.cleaned.points.select(cleaned.columns), cleaned),
+        CLUSTERED_POSITIONS.name: Part(result.clustered.where(known).select(clustered.columns), clustered),
+        "unclustered_positions": Part(result.clustered.where(~known).select(cleaned.columns), cleaned),
+    }
+    save_tables(result.clustered.sparkSession, folder, parts, format)
 
 
 def summarize(result: Result) -> DataFrame:

@@ -84,7 +84,7 @@ RAW_SIGNALS_JSON = (
     "rawSignals array<struct<position: struct<"
     "LatLng: string, accuracyMeters: bigint, timestamp: string>>>"
 )
-_SEGMENT_PARTS = {
+SEGMENT_PARTS = {
     "timelinePath": "array<struct<point: string, time: string>>",
     "visit": (
         "struct<probability: double, topCandidate: struct<semanticType: string, "
@@ -100,4 +100,12 @@ _SEGMENT_PARTS = {
 
 def semantic_segments_json(part: str) -> str:
     """Schema of the segment array with only one kind of segment."""
-    return f"semanticSegments array<struct<startTime: string, endTime: string, {part}: {_SEGMENT_PARTS[part]}>>"
+    return f"semanticSegments array<struct<startTime: string, endTime: string, {part}: {SEGMENT_PARTS[part]}>>"
+
+
+# Everything that any reader uses, for documents that are parsed once.
+ALL_JSON = (
+    f"{RAW_SIGNALS_JSON}, semanticSegments array<struct<startTime: string, endTime: string, "
+    + ", ".join(f"{part}: {kind}" for part, kind in SEGMENT_PARTS.items())
+    + ">>"
+)

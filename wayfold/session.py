@@ -59,12 +59,13 @@ def require_utc(spark: SparkSession) -> None:
         raise ValueError(f"spark.sql.session.timeZone is {zone}: set it to UTC")
 
 
-def saved(df: DataFrame) -> DataFrame:
+def saved(df: DataFrame, split_by: str | None = None) -> DataFrame:
     """Write `df` once to the shared folder and read it back.
 
-    Cuts the lineage, survives lost executors, and gives later joins true sizes.
+    Cuts the lineage, survives lost executors, and gives later joins true sizes. `split_by` names a text column
+    of few values; readers of one of them open no files of the others.
     """
     spark = df.sparkSession
     path = os.path.join(shared_folder(spark), f"wayfold-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    (df.write.partitionBy(split_by) if split_by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

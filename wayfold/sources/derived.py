@@ -122,5 +122,5 @@ def activities(points: DataFrame, block_rows: int | None = BLOCK_ROWS) -> DataFr
 
 
 def timeline_paths(points: DataFrame) -> DataFrame:
-    """Every third position."""
-    return points.where(F.col("ord") % 3 == 1).select("traj_id", "point_id", "ord", "latitude", "longitude", "timestamp")
+    """All positions, as points of paths."""
+    return points.select("traj_id", "point_id", "ord", "latitude", "longitude", "timestamp")

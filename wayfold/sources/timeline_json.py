@@ -10,7 +10,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.parsing import coordinate, instant
-from ..schemas import ACTIVITIES, RAW_POSITIONS, RAW_SIGNALS_JSON, TIMELINE_PATHS, VISITS, semantic_segments_json
+from ..schemas import (
+    ACTIVITIES,
+    RAW_POSITIONS,
+    RAW_SIGNALS_JSON,
+    SEGMENT_PARTS,
+    TIMELINE_PATHS,
+    VISITS,
+    semantic_segments_json,
+)
 
 
 # Holds the text of a document that does not parse or has a field of the wrong type.
@@ -141,6 +149,78 @@ def activities(documents: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
+_NOTHING = {
+    "position": "struct<LatLng: string, accuracyMeters: bigint, timestamp: string>",
+    "startTime": "string",
+    "endTime": "string",
+    "step": "struct<point: string, time: string>",
+    **{part: SEGMENT_PARTS[part] for part in ("visit", "activity")},
+}
+
+
+def _entry(table: str, **values: Column) -> Column:
+    """An entry of any table as it stands in a document."""
+    columns = (values.get(n, F.lit(None)).cast(t).alias(n) for n, t in _NOTHING.items())
+    return F.struct(F.lit(table).alias("table_name"), *columns)
+
+
+def all_rows(documents: DataFrame, strict: bool = True) -> DataFrame:
+    """Rows of all four tables from documents that were read once, with `ALL_JSON`.
+
+    (traj_id, table_name, and the columns of all tables), where columns of other tables are null.
+    """
+
+    def segment(part: str):
+        return F.transform(
+            F.filter("semanticSegments", lambda s: s[part].isNotNull()),
+            lambda s: _entry(TABLE_OF[part], startTime=s["startTime"], endTime=s["endTime"], **{part: s[part]}),
+        )
+
+    none = F.array().cast("array<struct<point: string, time: string>>")
+    entries = (
+        F.transform(
+            F.filter("rawSignals", lambda s: s["position"].isNotNull()),
+            lambda s: _entry(RAW_POSITIONS.name, position=s["position"]),
+        ),
+        F.flatten(
+            F.transform(
+                "semanticSegments",
+                lambda s: F.transform(F.coalesce(s["timelinePath"], none), lambda p: _entry(TIMELINE_PATHS.name, step=p)),
+            )
+        ),
+        segment("visit"),
+        segment("activity"),
+    )
+    # One kind of entry at a time: a document without signals or segments has an empty list there.
+    lists = F.array(*(F.coalesce(e, F.array().cast(f"array<struct<table_name: string, {_DDL}>>")) for e in entries))
+    rows = readable(documents).select("traj_id", F.inline(F.flatten(lists)))
+    place = F.coalesce("position.LatLng", "step.point", "visit.topCandidate.placeLocation.latLng")
+    ends = {"start": F.col("activity.start.latLng"), "end": F.col("activity.end.latLng")}
+    return rows.select(
+        "traj_id",
+        "table_name",
+        coordinate(place, 0, strict).alias("latitude"),
+        coordinate(place, 1, strict).alias("longitude"),
+        F.col("position.accuracyMeters").alias("accuracy"),
+        instant(F.coalesce("position.timestamp", "step.time"), strict).alias("timestamp"),
+        *_times(strict),
+        *(
+            coordinate(text, part, strict).alias(f"{end}_{name}")
+            for end, text in ends.items()
+            for part, name in enumerate(("latitude", "longitude"))
+        ),
+        F.col("visit.topCandidate.semanticType").alias("semantic_type"),
+        F.coalesce("visit.probability", "activity.probability").alias("probability"),
+        F.col("visit.topCandidate.probability").alias("place_probability"),
+        F.col("activity.distanceMeters").alias("distance"),
+        F.col("activity.topCandidate.type").alias("activity_type"),
+        F.col("activity.topCandidate.probability").alias("activity_probability"),
+    )
+
+
+_DDL = ", ".join(f"{n}: {t}" for n, t in _NOTHING.items())
+TABLE_OF = {"visit": VISITS.name, "activity": ACTIVITIES.name}
+
 # Table -> (what to parse of a document, how to flatten it)
 READERS = {
     RAW_POSITIONS: (RAW_SIGNALS_JSON, raw_positions),
