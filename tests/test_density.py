@@ -11,6 +11,7 @@ from wayfold.operators.cells import neighbour_counts, with_search_limits
 from wayfold.operators.cluster import core_points, st_dbscan
 from wayfold.operators.components import connected_components
 from wayfold.operators.curves import curve, knee, nearest_quantiles
+from wayfold.operators import knn
 from wayfold.operators.knn import per_point, spatial_k_distances
 
 PLACES = [(37.5, 127.0), (0.0, 179.9999), (89.9995, 10.0), (-45.0, -179.9997)]
@@ -167,6 +168,25 @@ def test_spatial_k_distances(spark, blocks, cell_rows):
                 assert got[traj, i + 1] == pytest.approx(away[ks[traj]], abs=1e-6)
 
 
+def test_lone_fixes_meet_few_places(spark):
+    """One place in twenty lies far from a long stay: the most candidates do not follow the number of places."""
+    most = []
+    for n in (600, 4800):
+        rnd = random.Random(9)
+        near = [(37.5 + 0.002 * rnd.gauss(0, 1), 127 + 0.002 * rnd.gauss(0, 1)) for _ in range(n - n // 20)]
+        lone = [(rnd.uniform(30, 45), rnd.uniform(120, 135)) for _ in range(n // 20)]
+        points = near + lone
+        df = spark.createDataFrame([(1, *p, 3) for p in points], "traj_id long, latitude double, longitude double, k int")
+        places = knn.saved(knn._places(df, 3, None))
+        found = knn.saved(knn._candidates(places, places, 64))
+        most.append(found.groupBy("place").count().agg({"count": "max"}).first()[0])
+        got = {(r.latitude, r.longitude): r.k_distance for r in knn.spatial_k_distances(df, 3, None, 64).collect()}
+        for p in lone[:10] + near[:10]:
+            assert got[p] == pytest.approx(sorted(metres(p, q) for q in points)[3], abs=1e-6)
+    # Eight times the places.
+    assert most[1] <= 3 * most[0] and most[1] < 1000
+
+
 def _values(spark, *values):
     return curve(spark.createDataFrame([(1, float(v)) for v in values], "traj_id long, v double"), "v")
 

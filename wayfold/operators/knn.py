@@ -7,7 +7,12 @@
    the answer from above. Every point gets its own, local search radius.
 3. Each place looks up the grid level whose cells are just larger than its radius, in
    the few cells that its radius touches. Other places are entered at the levels
-   in use in their trajectory. What lies inside the radius is measured.
+   in use in their trajectory.
+4. A place whose radius touches a crowded cell, such as a lone fix far from a long stay, goes down a
+   pyramid of counts: its cells are replaced by their children, level by level. The children's boxes and counts
+   give a new bound, the distance within which k + 1 rows lie for sure, and what is farther away goes. What is
+   left in the end are a few cells of few rows.
+5. What lies in the cells that are left is measured.
 
 A place is a candidate of the places in nearby sparse cells only, so pairs grow
 with the number of places, not with its square.
@@ -15,6 +20,8 @@ with the number of places, not with its square.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,8 +32,10 @@ from .ordered import BLOCK_ROWS, home_rows, neighbouring_rows, ranked, running_s
 _BITS = 42  # of one grid coordinate; the finest cells are about 3 micrometres wide
 _UNIT_M = 2 * EARTH_RADIUS_M / (1 << _BITS)
 _AXES = ("x", "y", "z")
-# Rows of one grid cell that one task takes before the cell is split.
-CELL_ROWS = 200_000
+# A grid cell with more places is crowded; places that touch one go down the pyramid,
+CELL_ROWS = 2048
+# to cells of so many places, so many levels at a time.
+LEAF_ROWS, _STEP = 64, 3
 
 
 def spatial_k_distances(
@@ -134,7 +143,17 @@ def _interleave(x: Column, y: Column, z: Column) -> Column:
     return spread(x).bitwiseOR(F.shiftleft(spread(y), 1)).bitwiseOR(F.shiftleft(spread(z), 2))
 
 
-def _search(open_places: DataFrame, places: DataFrame, max_k: int, cell_rows: int) -> DataFrame:
+def _candidate() -> Column:
+    return F.struct("latitude", "longitude", "copies", *_AXES).alias("q")
+
+
+def _cell(level: Column, *names: str) -> dict[str, Column]:
+    """Coordinates of a place's cell at a level."""
+    return {n: F.call_function("shiftright", F.col(f"i{a}"), level) for n, a in zip(names, _AXES)}
+
+
+def _candidates(open_places: DataFrame, places: DataFrame, cell_rows: int) -> DataFrame:
+    """Places to search for, each with the places `q` among which its nearest are."""
     cell = ["traj_id", "level", "cx", "cy", "cz"]
     probe = open_places.select("traj_id", "place", "latitude", "longitude", "copies", "k", *_AXES, "radius", "level")
     for axis in _AXES:
@@ -158,34 +177,97 @@ def _search(open_places: DataFrame, places: DataFrame, max_k: int, cell_rows: in
         F.sequence(F.lit(0), F.lit(_BITS + 3)),
         lambda l: F.call_function("shiftright", F.col("levels"), l).bitwiseAND(F.lit(1)) == 1,
     )
-    entered = places.where(F.col("levels") != 0).withColumn("level", F.explode(in_use))
-    for axis in _AXES:
-        entered = entered.withColumn(f"c{axis}", F.call_function("shiftright", F.col(f"i{axis}"), F.col("level")))
-    entered = entered.select(
-        *cell,
-        F.struct("latitude", "longitude", "copies", *_AXES).alias("q"),
+    every = places.where(F.col("levels") != 0).withColumn("level", F.explode(in_use))
+    entered = every.withColumns(_cell(F.col("level"), "cx", "cy", "cz"))
+    crowded = entered.groupBy(*cell).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > cell_rows)
+    # At most one row per `cell_rows` entered places.
+    crowded = saved(crowded.select(*cell))
+    met = probe.join(entered.select(*cell, _candidate()), cell)
+    if not crowded.take(1):
+        return met
+    heavy = saved(probe.join(crowded, cell, "left_semi").select("traj_id", "place").distinct())
+    light = probe.join(heavy, ["traj_id", "place"], "left_anti").join(entered.select(*cell, _candidate()), cell)
+    heavy = probe.join(heavy, ["traj_id", "place"], "left_semi")
+    return light.select(*_PLACE, "q").unionByName(_descended(heavy, every, min(LEAF_ROWS, cell_rows)))
+
+
+_PLACE = ("traj_id", "place", "latitude", "longitude", "copies", "k", *_AXES, "radius")
+_CELL = ("base", "depth", "level", "cx", "cy", "cz")
+_BOX = tuple(f"{end}_{axis}" for axis in _AXES for end in ("min", "max"))
+
+
+def _descended(probe: DataFrame, every: DataFrame, leaf_rows: int) -> DataFrame:
+    """The candidates of places that touch crowded cells.
+
+    `every` holds each place once for each level in use in its trajectory; a search goes down from its own
+    level, `base`, _STEP levels at a time.
+    """
+    at = ["traj_id", *_CELL]
+    every = every.withColumnRenamed("level", "base")
+
+    def inside(cells: DataFrame, depth: int) -> DataFrame:
+        """Places in some cells of one depth."""
+        level = F.greatest(F.lit(0), F.col("base") - _STEP * depth)
+        rows = every.withColumns({"depth": F.lit(depth), "level": level})
+        rows = rows.withColumns(_cell(F.col("level"), "cx", "cy", "cz"))
+        return rows.join(cells.select(*at).distinct(), at, "left_semi")
+
+    def counted(rows: DataFrame, *by: str) -> DataFrame:
+        box = (f(a).alias(f"{n}_{a}") for a in _AXES for n, f in (("min", F.min), ("max", F.max)))
+        return rows.groupBy(*at, *by).agg(F.count(F.lit(1)).alias("rows"), F.sum("copies").alias("weight"), *box)
+
+    first = probe.withColumns({"base": F.col("level"), "depth": F.lit(0)})
+    front = saved(_bounded(first.join(counted(inside(first, 0)), at)))
+    depth, above = 0, {f"above_{c}": F.col(c) for c in ("cx", "cy", "cz")}
+    while True:
+        split = (F.col("depth") == depth) & (F.col("rows") > leaf_rows) & (F.col("level") > 0)
+        parents = front.where(split)
+        if not parents.take(1):
+            break
+        depth += 1
+        lower = inside(parents, depth - 1).withColumns(above).withColumn("depth", F.lit(depth))
+        lower = lower.withColumn("level", F.greatest(F.lit(0), F.col("base") - _STEP * depth))
+        children = counted(lower.withColumns(_cell(F.col("level"), "cx", "cy", "cz")), *above)
+        down = parents.select(*_PLACE, "base", *(c.alias(n) for n, c in above.items()))
+        down = down.join(children, ["traj_id", "base", *above]).drop(*above)
+        front = saved(_bounded(front.where(~split).unionByName(down)))
+    found = []
+    for d in range(depth + 1):
+        cells = front.where(F.col("depth") == d)
+        found.append(cells.join(inside(cells, d).select(*at, _candidate()), at).select(*_PLACE, "q"))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _bounded(front: DataFrame) -> DataFrame:
+    """Lowers each place's radius to where its cells hold k + 1 rows for sure, and drops cells beyond it."""
+
+    def squares(of) -> Column:
+        away = (of(F.col(f"min_{a}") - F.col(a), F.col(a) - F.col(f"max_{a}"), a) for a in _AXES)
+        return sum(d * d for d in away)
+
+    nearest = squares(lambda low, high, a: F.greatest(F.lit(0.0), low, high))
+    farthest = squares(lambda low, high, a: F.greatest(F.col(f"max_{a}") - F.col(a), F.col(a) - F.col(f"min_{a}")))
+    one = Window.partitionBy("traj_id", "place")
+    reached = F.sum("weight").over(one.orderBy("_far").rowsBetween(Window.unboundedPreceding, 0))
+    surely = F.min(F.when(F.col("_reached") > F.col("k"), F.col("_far"))).over(one)
+    bound = F.sqrt(F.col("_surely")) * (1 + 1e-9) + SLACK_M
+    lower = F.when(bound < 1.9 * EARTH_RADIUS_M, F.least("radius", bound)).otherwise(F.col("radius"))
+    return (
+        front.withColumn("_far", farthest)
+        .withColumn("_reached", reached)
+        .withColumn("_surely", surely)
+        .withColumn("radius", lower)
+        .where(nearest <= F.col("radius") * F.col("radius"))
+        .select(*_PLACE, *_CELL, "rows", "weight", *_BOX)
     )
 
-    # A coarse cell can hold a large share of all places: cut it into parts.
-    crowded = entered.groupBy(*cell).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > cell_rows)
-    crowded = crowded.select(*cell, F.ceil(F.col("_rows") / F.lit(cell_rows)).cast("int").alias("_parts"))
-    if crowded.take(1):
-        # At most one row per `cell_rows` entered places.
-        crowded = saved(crowded)
-        parts = F.coalesce("_parts", F.lit(1))
-        entered = entered.join(crowded, cell, "left").withColumn(
-            "_part", F.pmod(F.xxhash64("q"), parts).cast("int")
-        ).drop("_parts")
-        probe = probe.join(crowded, cell, "left").withColumn(
-            "_part", F.explode(F.sequence(F.lit(0), parts - 1))
-        ).drop("_parts")
-        cell = [*cell, "_part"]
-
-    inside = probe.join(entered, cell).where(
+
+def _search(open_places: DataFrame, places: DataFrame, max_k: int, cell_rows: int) -> DataFrame:
+    inside = _candidates(open_places, places, cell_rows).where(
         _square(F.col("q.x"), F.col("q.y"), F.col("q.z")) <= F.col("radius") * F.col("radius")
     )
-    distance = haversine(F.col("latitude"), F.col("longitude"), F.col("q.latitude"), F.col("q.longitude"))
     me = ["traj_id", "place"]
+    distance = haversine(F.col("latitude"), F.col("longitude"), F.col("q.latitude"), F.col("q.longitude"))
     by_distance = Window.partitionBy(*me).orderBy("distance")
     nearest = (
         inside.select(*me, "latitude", "longitude", "copies", "k", distance.alias("distance"), F.col("q.copies").alias("w"))
