@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from test_tables import BAD, DOCUMENT, GOOD
 from wayfold.functions.parsing import coordinate
-from wayfold.operators import cells, curves
+from wayfold.operators import cells, curves, mobility, segments
 from wayfold.plans import pipeline
 from wayfold.schemas import RAW_POSITIONS, RAW_SIGNALS_JSON
 from wayfold.session import require_utc
@@ -99,3 +99,36 @@ def test_store_all(spark, tmp_path):
     key = tables.keyed(RAW_POSITIONS, traj_id=T.StringType())
     assert tables.load_table(spark, f"{out}/raw_positions", key).count() == 2
     assert spark.read.parquet(f"{out}/raw_positions_unreadable").count() == 1
+
+
+def test_coordinates_out_of_range_fail_everywhere(spark):
+    """Gap distances, the cleaning that starts with them, and temporal distances; missing coordinates pass."""
+    rows = [(1, i + 1, i + 1, 95.0 if i == 2 else 10.0, 5.0, datetime.fromtimestamp(60 * i), 2) for i in range(5)]
+    df = spark.createDataFrame(
+        rows, "traj_id long, ord long, point_id long, latitude double, longitude double, timestamp timestamp, k int"
+    )
+    for use in (segments.distance_to_next, lambda d: curves.temporal_k_distances(d, 2), lambda d: pipeline.clean_positions(d).points):
+        with pytest.raises(Exception, match="not a place"):
+            use(df).collect()
+    missing = df.withColumn("latitude", F.when(F.col("latitude") < 90, F.col("latitude")))
+    gaps = [r.distance_to_next for r in segments.distance_to_next(missing).orderBy("ord").collect()]
+    assert gaps == [0, None, None, 0, None]
+
+
+def test_dwell_by_day_adds_up(spark):
+    """Stays cut at midnight in Seoul, 15:00 UTC, with fractions of seconds; whole seconds add up."""
+    spans = [
+        (1, 1, "2026-08-10 14:59:58.7", "2026-08-10 15:00:01.2"),
+        (1, 2, "2026-08-11 01:00:00", "2026-08-11 02:00:00.9"),
+        (2, 1, "2026-08-09 15:00:00", "2026-08-13 15:00:00"),
+        (3, 1, "2026-08-09 15:00:00", "2026-08-09 15:00:00"),
+    ]
+    stays = spark.createDataFrame(spans, "traj_id long, cluster_id int, a string, b string").select(
+        "traj_id", F.col("a").cast("timestamp").alias("start_time"), F.col("b").cast("timestamp").alias("end_time")
+    )
+    got = {(r.traj_id, str(r.day)): r.dwell_seconds for r in mobility.daily_dwell(stays).collect()}
+    assert got == {
+        (1, "2026-08-10"): 1, (1, "2026-08-11"): 1 + 3600,
+        (2, "2026-08-10"): 86400, (2, "2026-08-11"): 86400, (2, "2026-08-12"): 86400, (2, "2026-08-13"): 86400, (2, "2026-08-14"): 0,
+        (3, "2026-08-10"): 0,
+    }

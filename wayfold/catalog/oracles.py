@@ -225,6 +225,15 @@ _DAYS = """SELECT traj_id, CAST(CAST(timestamp + INTERVAL 9 HOUR AS DATE) AS VAR
 )
 
 
+# Stays cut at midnight in Seoul; seconds are counted from the start of the stay.
+_DWELL = """SELECT traj_id, CAST(CAST(d AS DATE) AS VARCHAR) AS day,
+    sum((epoch_us(least(e, d + INTERVAL 1 DAY))-epoch_us(s))//1000000 - (epoch_us(greatest(s, d))-epoch_us(s))//1000000) AS dwell
+  FROM (SELECT *, unnest(generate_series(date_trunc('day', s)::TIMESTAMP, date_trunc('day', e)::TIMESTAMP, INTERVAL 1 DAY)) AS d
+    FROM (SELECT traj_id, (min(timestamp) + INTERVAL 9 HOUR)::TIMESTAMP AS s, (max(timestamp) + INTERVAL 9 HOUR)::TIMESTAMP AS e
+      FROM f_label WHERE cluster_id > 0 GROUP BY traj_id, cluster_id))
+  GROUP BY traj_id, d"""
+
+
 def _curve_of(kind: str) -> str:
     """The curve with k = min_pts, one more than the parameters use."""
     away = _hav("a.latitude", "a.longitude", "b.latitude", "b.longitude")
@@ -292,8 +301,11 @@ _SELECTS = {
       round(avg(latitude),6) AS latitude, round(avg(longitude),6) AS longitude, count(*) AS points,
       (epoch_us(max(timestamp))-epoch_us(min(timestamp)))//1000000 AS dwell_seconds
       FROM f_label WHERE cluster_id > 0 GROUP BY traj_id, cluster_id""",
-    "daily_mobility": f"""SELECT traj_id, day, round(coalesce(sum(g),0),3) AS travel_metres, count(*) AS points,
-      count(DISTINCT cluster_id) FILTER (WHERE cluster_id > 0) AS stays FROM ({_DAYS}) GROUP BY traj_id, day""",
+    "daily_mobility": f"""SELECT traj_id, day, round(coalesce(metres,0),3) AS travel_metres, coalesce(points,0) AS points,
+      coalesce(stays,0) AS stays, coalesce(dwell,0)::BIGINT AS dwell_seconds FROM (
+        SELECT traj_id, day, sum(g) AS metres, count(*) AS points,
+          count(DISTINCT cluster_id) FILTER (WHERE cluster_id > 0) AS stays FROM ({_DAYS}) GROUP BY traj_id, day)
+      FULL JOIN ({_DWELL}) USING (traj_id, day)""",
     "load_raw_positions": f"SELECT traj_id, {_rounded(7, 'latitude', 'longitude')}, accuracy, {_ms('timestamp')} FROM pos",
     "load_timeline_paths": f"SELECT traj_id, {_rounded(7, 'latitude', 'longitude')}, {_ms('timestamp')} FROM pth",
     "load_visits": f"SELECT * EXCLUDE (start_time, end_time), {_ms('start_time')}, {_ms('end_time')} FROM vis",

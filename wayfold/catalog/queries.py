@@ -305,7 +305,7 @@ def stays(spark, folder):
 def daily_mobility(spark, folder):
     clustered, blocks = _clustered(spark, folder)
     return mobility.daily_mobility(clustered, blocks).select(
-        "traj_id", F.col("day").cast("string").alias("day"), _m("travel_metres"), "points", "stays"
+        "traj_id", F.col("day").cast("string").alias("day"), _m("travel_metres"), "points", "stays", "dwell_seconds"
     )
 
 

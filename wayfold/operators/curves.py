@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timeops import whole_seconds
 from .ordered import BLOCK_ROWS, home_rows, neighbouring_rows, ranked, running_sum, unfold
+from .validate import in_range
 from .segments import JUMP_RATE, MAX_JUMP_POINTS, jump_candidates
 
 
@@ -137,10 +138,12 @@ def temporal_k_distances(df: DataFrame, max_k: int, block_rows: int | None = BLO
     `df` has a column `k` <= `max_k`; its rows are put in order of time here. The k nearest
     rows are neighbours in time order, so a window of k rows either way is enough:
     of all runs of k + 1 rows around the row, the one whose farther end is nearest.
-    Null where a trajectory has no k other rows.
+    Null where a trajectory has no k other rows. Fails at a coordinate out of range, if there are any.
     """
     if max_k < 1:
         raise ValueError("k must be at least 1")
+    if {"latitude", "longitude"} <= set(df.columns):
+        df = in_range(df)
     timed = df.withColumn("_t", F.unix_micros("timestamp")).withColumnRenamed("ord", "_given")
     timed = ranked(timed, ["traj_id"], [F.col("_t"), F.col("_given")], "ord", block_rows)
     near, by_ord = neighbouring_rows(timed, max_k, block_rows)

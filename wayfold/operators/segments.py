@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import haversine
 from .ordered import BLOCK_ROWS, attach, block_of, home_rows, neighbouring_rows, running_sum
+from .validate import in_range
 
 # Fixed values of the method.
 MAX_JUMP_POINTS = 3
@@ -14,8 +15,11 @@ JUMP_RATE = 0.05
 
 
 def gap_distances(df: DataFrame, block_rows: int | None = BLOCK_ROWS) -> DataFrame:
-    """Adds the distance to the next and from the previous row of the trajectory."""
-    near, by_ord = neighbouring_rows(df, 1, block_rows)
+    """Adds the distance to the next and from the previous row of the trajectory.
+
+    Fails at a coordinate out of range; a missing one gives missing distances.
+    """
+    near, by_ord = neighbouring_rows(in_range(df), 1, block_rows)
     lat, lon = F.col("latitude"), F.col("longitude")
     out = near.withColumns(
         {

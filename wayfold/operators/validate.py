@@ -15,7 +15,7 @@ def check_columns(df: DataFrame, table: Table) -> DataFrame:
     """The columns must be the table's, in its order."""
     if df.columns != table.columns:
         raise ValueError(
-            f"{table.name}: columns do not match\nexpected: {table.columns}\nactual:   {df.columns}"
+            f"the rows for {table.name} have the columns {', '.join(df.columns)}; it takes {', '.join(table.columns)}, in this order"
         )
     return df
 
@@ -99,6 +99,15 @@ def located(df: DataFrame) -> DataFrame:
     return required(df, ok, F.concat(F.lit("not a place on earth: "), place))
 
 
+def in_range(df: DataFrame) -> DataFrame:
+    """The same rows; running it fails at a row with a coordinate out of range. Missing coordinates pass."""
+    ok = [
+        F.col(name).isNull() | F.col(name).between(-limit, limit) for name, limit in (("latitude", 90), ("longitude", 180))
+    ]
+    place = F.concat_ws(", ", F.col("latitude").cast("string"), F.col("longitude").cast("string"))
+    return required(df, ok[0] & ok[1], F.concat(F.lit("not a place on earth: "), place))
+
+
 def coordinate_violations(df: DataFrame) -> DataFrame:
     """One row: how many latitudes and longitudes are out of range; missing ones pass."""
     missing = {"latitude", "longitude"} - set(df.columns)
