@@ -143,6 +143,26 @@ def test_components_of_a_long_chain(spark, group_links):
     assert {(r.traj_id, r.node): r.root for r in got.collect()} == want
 
 
+@pytest.mark.parametrize("square", [4, 50, 10**6])
+def test_components_of_hubs_and_paths(spark, square):
+    """A hub, larger or smaller than its neighbours, a long path, a path in mixed order, and repeated links."""
+    rnd = random.Random(4)
+    mixed = list(range(1000, 1120))
+    rnd.shuffle(mixed)
+    edges = [(1, 500, i) for i in range(400)] + [(1, 900, 901), (2, 0, 700), (2, 700, 0)]
+    edges += [(2, i, i + 1) for i in range(200)] + [(3, 0, i) for i in range(1, 300)] + [(3, a, b) for a, b in zip(mixed, mixed[1:])]
+    got = connected_components(spark.createDataFrame(edges, "traj_id long, u long, v long"), square)
+    want = {(1, i): 0 for i in [*range(400), 500]} | {(1, 900): 900, (1, 901): 900} | {(2, i): 0 for i in [*range(201), 700]}
+    want |= {(3, i): 0 for i in range(300)} | {(3, i): 1000 for i in mixed}
+    assert {(r.traj_id, r.node): r.root for r in got.collect()} == want
+    assert got.count() == len(want)
+
+
+def test_components_of_nothing(spark):
+    none = spark.createDataFrame([(1, 5, 5)], "traj_id long, u long, v long")
+    assert connected_components(none).count() == 0
+
+
 @pytest.mark.parametrize("blocks, cell_rows", [(None, 200_000), (25, 3)])
 def test_spatial_k_distances(spark, blocks, cell_rows):
     rnd = random.Random(3)

@@ -3,68 +3,80 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import saved
 
-MAX_ROUNDS = 100
-# Links of one trajectory that a task may hold at once.
-GROUP_LINKS = 200_000
+# Links are first solved in squares of so many nodes by so many nodes.
+SQUARE_NODES = 200_000
+# Keys that the links of one node are dealt to, so that no task gets all links of a hub.
+SALTS = 64
 
 
-def connected_components(edges: DataFrame, group_links: int = GROUP_LINKS) -> DataFrame:
+def connected_components(edges: DataFrame, square_nodes: int = SQUARE_NODES) -> DataFrame:
     """(traj_id, node, root) for every node of (traj_id, u, v); root is the smallest node.
 
-    Nodes without an edge are not listed. Trajectories with few links are solved
-    whole, batch by batch; longer ones are contracted in rounds of joins, whose
-    tasks never hold a whole trajectory.
+    Nodes without an edge are not listed. Nodes are numbers. Links whose ends lie in the same two ranges of
+    `square_nodes` numbers are replaced by a forest, square by square; a trajectory within one range is settled
+    by that. The forests of the others are contracted in rounds of joins until every node points at its root.
+    A task holds the nodes of one square at most, and the links of a hub go to many tasks.
     """
-    links = saved(
-        edges.where(F.col("u") != F.col("v"))
-        .select("traj_id", F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        .distinct()
+    links = edges.where(F.col("u") != F.col("v")).select(
+        "traj_id", F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
     )
-    counts = links.groupBy("traj_id").agg(F.count(F.lit(1)).alias("_links"))
-    # At most one row per `group_links` links.
-    long = counts.where(F.col("_links") > group_links).select("traj_id")
-    if not long.take(1):
-        return _solved(links)
-    long = saved(long)
-    return _solved(links.join(long, "traj_id", "left_anti")).unionByName(
-        _contracted(saved(links.join(long, "traj_id", "left_semi")))
-    )
-
-
-def _solved(links: DataFrame) -> DataFrame:
-    schema = T.StructType(
-        [links.schema["traj_id"], T.StructField("node", T.LongType()), T.StructField("root", T.LongType())]
-    )
-    together = links.repartition("traj_id").sortWithinPartitions("traj_id")
-    return together.mapInPandas(_roots_by_batch, schema)
-
-
-def _roots_by_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Solves the trajectories of each batch; the last one waits for the rest of its links."""
-    waiting = None
-    for batch in batches:
-        links = batch if waiting is None else pd.concat([waiting, batch], ignore_index=True)
-        unfinished = links["traj_id"] == links["traj_id"].iloc[-1]
-        waiting = links[unfinished]
-        if not unfinished.all():
-            yield _roots(links[~unfinished])
-    if waiting is not None:
-        yield _roots(waiting)
-
-
-def _roots(links: pd.DataFrame) -> pd.DataFrame:
-    """Labels sink to the smallest node of a trajectory, along links and along labels."""
-    ends = pd.concat([links[["traj_id", end]].set_axis(["traj_id", "node"], axis=1) for end in ("u", "v")])
-    groups = ends.groupby(["traj_id", "node"])
+    links, settled = saved(_forests(links, square_nodes)), []
+    while True:
+        open_ = _not_settled(links)
+        if not open_.take(1):
+            settled.append(links)
+            break
+        open_ = saved(open_)
+        settled.append(links.join(open_, "traj_id", "left_anti"))
+        links = saved(_small_star(_large_star(links.join(open_, "traj_id", "left_semi"))))
+    stars = reduce(DataFrame.unionByName, settled)
+    roots = stars.select("traj_id", F.col("v").alias("node"), F.col("v").alias("root")).distinct()
+    return stars.select("traj_id", F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
+
+
+def _forests(links: DataFrame, square_nodes: int) -> DataFrame:
+    """The links of each square as links of its nodes to the smallest node that they reach there."""
+
+    def side(node: str) -> Column:
+        return F.floor(F.col(node) / square_nodes).cast("long")
+
+    square = ["traj_id", "_rows", "_columns"]
+    dealt = links.withColumns({"_rows": side("u"), "_columns": side("v")})
+    together = dealt.repartition(*square).sortWithinPartitions(*square)
+    schema = T.StructType([links.schema["traj_id"], *(T.StructField(n, T.LongType()) for n in ("u", "v"))])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        waiting = None
+        for batch in batches:
+            rows = batch if waiting is None else pd.concat([waiting, batch], ignore_index=True)
+            last = rows[square].iloc[-1]
+            unfinished = (rows[square] == last).all(axis=1)
+            waiting = rows[unfinished]
+            if len(waiting) > 8 * square_nodes:
+                # Nodes bound a forest; links of a square can be far more.
+                waiting = _forest(waiting, square)
+            if not unfinished.all():
+                yield _forest(rows[~unfinished], square)[["traj_id", "u", "v"]]
+        if waiting is not None:
+            yield _forest(waiting, square)[["traj_id", "u", "v"]]
+
+    return together.mapInPandas(run, schema)
+
+
+def _forest(links: pd.DataFrame, square: list[str]) -> pd.DataFrame:
+    """Labels sink to the smallest node of a square's component, along links and along labels."""
+    ends = pd.concat([links[[*square, end]].set_axis([*square, "u"], axis=1) for end in ("u", "v")])
+    groups = ends.groupby([*square, "u"])
     u, v = groups.ngroup().to_numpy().reshape(2, -1)
     nodes = groups.size().index.to_frame(index=False)
     label = np.arange(len(nodes))
@@ -77,45 +89,41 @@ def _roots(links: pd.DataFrame) -> pd.DataFrame:
         if np.array_equal(sunk, label):
             break
         label = sunk
-    return nodes.assign(root=nodes["node"].to_numpy()[label])
-
+    out = nodes.assign(v=nodes["u"].to_numpy()[label])
+    return out[out["u"] != out["v"]].reset_index(drop=True)
 
-def _contracted(links: DataFrame) -> DataFrame:
-    """Alternating large-star and small-star rounds until each node points at its root."""
-    for _ in range(MAX_ROUNDS):
-        if _all_stars(links):
-            nodes = links.select("traj_id", F.col("u").alias("node"), F.col("v").alias("root"))
-            roots = links.select("traj_id", F.col("v").alias("node"), F.col("v").alias("root")).distinct()
-            return nodes.unionByName(roots)
-        links = saved(_small_star(_large_star(links)))
-    raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
 
-
-def _all_stars(links: DataFrame) -> bool:
-    """Whether every node points at one other node that points nowhere."""
+def _not_settled(links: DataFrame) -> DataFrame:
+    """Trajectories in which some node does not just point at one node that points nowhere."""
     ends = links.select("traj_id", F.col("u").alias("node"), F.lit(1).alias("_out"), F.lit(0).alias("_in"))
     ends = ends.unionByName(
         links.select("traj_id", F.col("v").alias("node"), F.lit(0).alias("_out"), F.lit(1).alias("_in"))
     )
     per_node = ends.groupBy("traj_id", "node").agg(F.sum("_out").alias("_out"), F.max("_in").alias("_in"))
-    return not per_node.where(F.col("_out") + F.col("_in") > 1).take(1)
+    return per_node.where(F.col("_out") + F.col("_in") > 1).select("traj_id").distinct()
+
+
+def _with_smallest(links: DataFrame) -> DataFrame:
+    """Links (traj_id, u, v) with `m`, the smallest v of u.
+
+    Minima are taken per salt, then per node, and go back to the salts: a hub's links meet its minimum in many tasks.
+    """
+    salted = links.withColumn("_salt", F.pmod(F.hash("v"), F.lit(SALTS)))
+    key = ["traj_id", "u", "_salt"]
+    per_salt = salted.groupBy(*key).agg(F.min("v").alias("_least"))
+    per_node = per_salt.groupBy("traj_id", "u").agg(F.min("_least").alias("m"))
+    return salted.join(per_salt.join(per_node, ["traj_id", "u"]).select(*key, "m"), key).drop("_salt")
 
 
 def _large_star(links: DataFrame) -> DataFrame:
     """Connect each node's larger neighbours to its smallest neighbour (or itself)."""
     both = links.unionByName(links.select("traj_id", F.col("v").alias("u"), F.col("u").alias("v")))
-    smallest = both.groupBy("traj_id", "u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-    return (
-        both.where(F.col("v") > F.col("u"))
-        .join(smallest, ["traj_id", "u"])
-        .select("traj_id", F.col("v").alias("u"), F.col("m").alias("v"))
-        .distinct()
-    )
+    larger = _with_smallest(both).where(F.col("v") > F.col("u"))
+    return larger.select("traj_id", F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     """Connect each node's smaller neighbours and the node itself to the smallest of them."""
-    smallest = links.groupBy("traj_id", "u").agg(F.min("v").alias("m"))
-    moved = links.join(smallest, ["traj_id", "u"]).select("traj_id", F.col("v").alias("u"), F.col("m").alias("v"))
-    kept = smallest.select("traj_id", "u", F.col("m").alias("v"))
-    return moved.where(F.col("u") != F.col("v")).unionByName(kept).distinct()
+    known = _with_smallest(links)
+    moved = known.where(F.col("v") != F.col("m")).select("traj_id", F.col("v").alias("u"), F.col("m").alias("v"))
+    return moved.unionByName(known.select("traj_id", "u", F.col("m").alias("v"))).distinct()
