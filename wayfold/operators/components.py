@@ -75,11 +75,14 @@ def _forests(links: DataFrame, square_nodes: int) -> DataFrame:
 
 def _forest(links: pd.DataFrame, square: list[str]) -> pd.DataFrame:
     """Labels sink to the smallest node of a square's component, along links and along labels."""
-    ends = pd.concat([links[[*square, end]].set_axis([*square, "u"], axis=1) for end in ("u", "v")])
-    groups = ends.groupby([*square, "u"])
-    u, v = groups.ngroup().to_numpy().reshape(2, -1)
-    nodes = groups.size().index.to_frame(index=False)
-    label = np.arange(len(nodes))
+    columns = [links[c].to_numpy() for c in square]
+    # Rows of a square are next to each other.
+    starts = np.concatenate([[True], np.logical_or.reduce([c[1:] != c[:-1] for c in columns])])
+    group = np.cumsum(starts) - 1
+    numbers, code = np.unique(np.concatenate([links["u"].to_numpy(), links["v"].to_numpy()]), return_inverse=True)
+    found, place = np.unique(np.tile(group, 2) * len(numbers) + code, return_inverse=True)
+    u, v = place.reshape(2, -1)
+    label = np.arange(len(found))
     while True:
         lower = np.minimum(label[u], label[v])
         sunk = label.copy()
@@ -89,8 +92,10 @@ def _forest(links: pd.DataFrame, square: list[str]) -> pd.DataFrame:
         if np.array_equal(sunk, label):
             break
         label = sunk
-    out = nodes.assign(v=nodes["u"].to_numpy()[label])
-    return out[out["u"] != out["v"]].reset_index(drop=True)
+    lost = np.flatnonzero(label != np.arange(len(found)))
+    first = np.flatnonzero(starts)[found[lost] // len(numbers)]
+    node, root = (numbers[found[x] % len(numbers)] for x in (lost, label[lost]))
+    return pd.DataFrame({**{n: c[first] for n, c in zip(square, columns)}, "u": node, "v": root})
 
 
 def _not_settled(links: DataFrame) -> DataFrame:
