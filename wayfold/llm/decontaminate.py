@@ -1,19 +1,23 @@
 """Benchmark decontamination in DataFrame functions only.
 
-Benchmark texts are cut into windows of n words. A bitmap of window hashes, of fixed size, and
-the windows themselves go to every task. A text's windows are looked up in the bitmap, place by
-place; the few that pass are compared with the windows themselves, so every hit is exact.
+Benchmark texts are cut into windows of n words. A map of window hashes, whose size follows the number of
+windows up to a bound, and the windows themselves go to every task. A text's windows are looked up in the map, place
+by place; the few that pass are compared with the windows themselves, so every hit is exact.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import saved
 
-# Slots (bytes) of the bitmap; more windows than that only let more places pass it.
-SLOTS = 1 << 18
+# Slots (bytes) of the map: some for each window, from the first number to the second. A window takes PROBES slots,
+# so that below 0.5 % of other places pass up to a million windows; more windows only let more places pass.
+SLOTS, PER_WINDOW, PROBES = (1 << 18, 1 << 24), 16, 3
 # Windows are broadcast up to so many bytes, beyond that joined by shuffle.
 BROADCAST_BYTES = 32 << 20
 
@@ -51,56 +55,90 @@ def hits(documents: DataFrame, benchmark: DataFrame, n: int = 10, key: str = "do
     """(doc_id, n_words, spans, items) of each document.
 
     `spans` are the sorted places [at, size] of windows (at counts words from 1), `items` the items
-    found, as strings. Rows that agree in key and text are one document. Null texts have no words.
-    Other columns are ignored; an empty benchmark gives no hits, an empty table no rows.
+    found, as strings. Each row is a document, repeated rows too. Null texts have no words.
+    Other columns are ignored; an empty benchmark gives no hits, an empty table no rows. A very long text is one array
+    of words in one task.
     """
     windows = saved(benchmark_windows(benchmark, n))
-    # At most n sizes and SLOTS slots come back.
+    # At most n sizes come back.
     sizes = sorted(r["size"] for r in windows.select("size").distinct().collect())
-    bitmap = bytearray(SLOTS)
-    for r in windows.select(_slot(F.xxhash64(F.split("window", " "))).alias("slot")).distinct().toLocalIterator():
-        bitmap[r["slot"]] = 1
+    bitmap = window_map(windows)
     weight = windows.agg(F.sum(F.length("window") + 40 + 12 * F.size("items"))).first()[0] or 0
     table = windows.withColumnRenamed("size", "length")
     table = F.broadcast(table) if weight <= BROADCAST_BYTES else table
 
-    docs = documents.select(F.col(key).alias("doc_id"), F.col("text"), F.xxhash64("text").alias("text_hash"))
-    found = docs.select("doc_id", "text_hash", _with(words(F.col("text")), lambda w: _candidates(w, sizes, bitmap)).alias("c"))
+    docs = documents.select(
+        # Numbers of rows are used within one job only, where a second try of a task gives the same.
+        F.monotonically_increasing_id().alias("number"),
+        F.col(key).alias("doc_id"),
+        F.col("text"),
+        F.xxhash64("text").alias("text_hash"),
+    )
+    found = docs.select(
+        "number", "doc_id", "text_hash", _with(words(F.col("text")), lambda w: _candidates(w, sizes, bitmap)).alias("c")
+    )
     # Texts without candidates keep one row.
-    rows = found.select("doc_id", "text_hash", F.col("c.n_words").alias("n_words"), F.explode_outer("c.found").alias("f"))
-    rows = rows.select("doc_id", "text_hash", "n_words", F.col("f.at").alias("at"), F.col("f.window").alias("window"))
+    whole = ("number", "doc_id", "text_hash")
+    rows = found.select(*whole, F.col("c.n_words").alias("n_words"), F.explode_outer("c.found").alias("f"))
+    rows = rows.select(*whole, "n_words", F.col("f.at").alias("at"), F.col("f.window").alias("window"))
     rows = rows.join(table, "window", "left")
     return (
-        rows.groupBy("doc_id", "text_hash")
+        rows.groupBy("number")
         .agg(
-            F.first("n_words").alias("n_words"),
+            *(F.first(c).alias(c) for c in ("doc_id", "text_hash", "n_words")),
             F.array_sort(
                 F.collect_set(F.when(F.col("length").isNotNull(), F.struct("at", F.col("length").alias("size"))))
             ).alias("spans"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
         )
+        .drop("number")
     )
 
 
-def _slot(h: Column) -> Column:
-    return F.pmod(h, F.lit(SLOTS)).cast("int")
+def window_map(windows: DataFrame) -> bytes:
+    """One byte a slot: whether a window takes it. The slots are gathered as bitmaps of 4 KB."""
+    slots = SLOTS[0]
+    while slots < SLOTS[1] and slots < PER_WINDOW * windows.count():
+        slots *= 2
+    h = F.xxhash64(F.split("window", " "))
+    taken = windows.select(F.explode(F.array(*(_slot(h, j, slots) for j in range(PROBES)))).alias("slot"))
+    pieces = taken.groupBy(F.expr("bitmap_bucket_number(slot)").alias("piece")).agg(
+        F.expr("bitmap_construct_agg(bitmap_bit_position(slot))").alias("bits")
+    )
+    out = np.zeros(slots + 1, np.uint8)
+    for r in pieces.collect():
+        # Piece 1 has slots 1 to 32768, and so on, the first in the lowest bit.
+        bits = np.unpackbits(np.frombuffer(r["bits"], np.uint8), bitorder="little")
+        first = (r["piece"] - 1) * 32768 + 1
+        out[first : first + 32768] = bits[: len(out) - first]
+    return out[1:].tobytes()
+
 
+def _slot(h: Column, probe: int, slots: int) -> Column:
+    """The slot of a hash, from 1: low bits for the first probe, steps of other bits for the next."""
+    step = F.pmod(F.shiftrightunsigned(h, 32).bitwiseOR(F.lit(1)), F.lit(slots))
+    return (F.pmod(F.pmod(h, F.lit(slots)) + step * probe, F.lit(slots)) + 1).cast("int")
 
-def _candidates(w: Column, sizes: list[int], bitmap: bytearray) -> Column:
-    """n_words, and the places and windows that pass the bitmap."""
-    slots = F.lit(bytes(bitmap))
-    taken = F.lit(b"\x01")
+
+def _candidates(w: Column, sizes: list[int], bitmap: bytes) -> Column:
+    """n_words, and the places and windows that pass the map."""
     found = F.array().cast("array<struct<at:int,window:string>>")
     for size in sizes:
-        found = F.concat(found, _passing(w, size, slots, taken))
+        found = F.concat(found, _passing(w, size, bitmap))
     return F.struct(F.size(w).cast("long").alias("n_words"), found.alias("found"))
 
 
-def _passing(w: Column, size: int, slots: Column, taken: Column) -> Column:
+def _passing(w: Column, size: int, bitmap: bytes) -> Column:
     places = F.when(F.size(w) >= size, F.sequence(F.lit(1), F.size(w) - size + 1)).otherwise(F.array().cast("array<int>"))
-    passed = F.filter(
-        places, lambda i: F.substring(slots, _slot(F.xxhash64(F.slice(w, i, size))) + 1, F.lit(1)) == taken
-    )
+    slots, taken = F.lit(bitmap), F.lit(b"\x01")
+
+    def all_taken(h: Column) -> Column:
+        probes = [F.substring(slots, _slot(h, j, len(bitmap)), F.lit(1)) == taken for j in range(PROBES)]
+        return reduce(lambda a, b: a & b, probes)
+
+    # The hash is kept beside its place, so that it is taken once.
+    hashed = F.transform(places, lambda i: F.struct(i.alias("i"), F.xxhash64(F.slice(w, i, size)).alias("h")))
+    passed = F.transform(F.filter(hashed, lambda x: all_taken(x["h"])), lambda x: x["i"])
     return F.transform(
         passed, lambda i: F.struct(i.alias("at"), F.array_join(F.slice(w, i, size), " ").alias("window"))
     )
@@ -125,19 +163,24 @@ def clean(documents: DataFrame, benchmark: DataFrame, n: int = 10, drop_percent:
     words go, with what separates them, and the rest of the text stays as it is. Documents
     without hits, null texts among them, are untouched. n_chars, where it is a column, follows the text.
     """
-    found = hits(documents, benchmark, n).where(F.size("spans") > 0).select("doc_id", "text_hash", "n_words", "spans")
-    joined = documents.withColumn("_hash", F.xxhash64("text")).join(
-        found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_text"), F.col("n_words").alias("_words"), F.col("spans").alias("_spans")),
-        F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_text")),
-        "left",
+    found = hits(documents, benchmark, n).where(F.size("spans") > 0)
+    # Rows that agree in doc_id and text have the same spans.
+    found = found.dropDuplicates(["doc_id", "text_hash"]).select(
+        F.col("doc_id").alias("found_id"), F.col("text_hash").alias("found_hash"), "n_words", "spans"
     )
-    hit = F.col("_spans").isNotNull()
-    kept = joined.where(~hit | (n_hit(F.col("_spans")) * 100 < F.col("_words") * drop_percent))
-    text = F.when(hit, _without(F.col("text"), F.col("_spans"))).otherwise(F.col("text"))
-    out = kept.withColumn("text", text)
+    # The row is one column, so that its names meet no others.
+    rows = documents.select(F.struct(*documents.columns).alias("row"))
+    same = F.col("row.doc_id").eqNullSafe(F.col("found_id")) & (F.xxhash64("row.text") == F.col("found_hash"))
+    joined = rows.join(found, same, "left")
+    hit = F.col("spans").isNotNull()
+    kept = joined.where(~hit | (n_hit(F.col("spans")) * 100 < F.col("n_words") * drop_percent))
+    text = F.when(hit, _without(F.col("row.text"), F.col("spans"))).otherwise(F.col("row.text"))
+    out = kept.select("row", hit.alias("hit"), text.alias("text"))
+    row = F.col("row").withField("text", F.col("text"))
     if "n_chars" in documents.columns:
-        out = out.withColumn("n_chars", F.when(hit, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(documents.columns)
+        n_chars = F.when(F.col("hit"), F.length("text").cast("long")).otherwise(F.col("row.n_chars"))
+        row = row.withField("n_chars", n_chars)
+    return out.select(row.alias("row")).select("row.*")
 
 
 def _without(text: Column, spans: Column) -> Column:
