@@ -184,10 +184,11 @@ class Templates:
         found = defaultdict(set)
         for p, places in diagonals.items():
             group: list[int] = []
+            taken: list[tuple[int, int]] = []
             for d in [*sorted(places), None]:
-                if group and (d is None or d - group[-1] > BAND):
-                    n, first, last = self._aligned(p, words, group[0] - BAND, group[-1] + BAND)
-                    if n >= LEAST_COVERAGE * len(self.words[p]):
+                # A group is no wider than the band, so that the work of a diagonal is bounded.
+                if group and (d is None or d - group[0] > BAND):
+                    for n, first, last in self._repeated(p, words, group[0] - BAND, group[-1] + BAND, taken):
                         found[self.of[p]].add((first, p, last, n))
                     group = []
                 group.append(d)
@@ -197,6 +198,26 @@ class Templates:
                 joined.append((t, min(1.0, n / self.size[t]), first, last, n))
         return [(self.names[t], *rest) for t, *rest in _without_parts(joined)]
 
+    def _repeated(self, p: int, words: np.ndarray, low: int, high: int, taken: list[tuple[int, int]]):
+        """Matches of a passage in a band, one after the other; words of a match, here or in `taken`, match no more."""
+        own, begin = self.words[p], max(0, low)
+        end = max(begin, min(len(words), high + len(own)))
+        near = words[begin:end].copy()
+        # A word that the passage does not have.
+        other = next(x for x in range(len(own) + 1) if not (own == np.uint64(x)).any())
+        for first, last in reversed(taken):
+            if last <= begin - len(own) - 2 * BAND:
+                break
+            near[max(0, first - begin) : max(0, last - begin)] = other
+        while True:
+            n, first, last = self._aligned(p, near, low - begin, high - begin)
+            if n < LEAST_COVERAGE * len(own):
+                return
+            near[first:last] = other
+            taken.append((first + begin, last + begin))
+            taken.sort()
+            yield n, first + begin, last + begin
+
     def _aligned(self, p: int, words: np.ndarray, low: int, high: int) -> tuple[int, int, int]:
         own = self.words[p]
         # Words that the text does not have there cannot match: most candidates end here.
@@ -284,9 +305,15 @@ def _without_parts(found: list[tuple[int, float, int, int, int]]) -> list[tuple[
     Of as many matched words, that with the larger coverage (in tenths) is kept, then the earlier template.
     """
     kept: list[tuple[int, float, int, int]] = []
+    # Matches that are kept, by the stretches of 256 words that they touch.
+    near: dict[int, list[tuple[int, int]]] = defaultdict(list)
     for t, coverage, first, last, _ in sorted(found, key=lambda x: (-x[4], -round(x[1], 1), x[0], x[2])):
-        if not any(2 * (min(last, y[3]) - max(first, y[2])) >= last - first for y in kept):
+        stretches = range(first // 256, (last - 1) // 256 + 1)
+        around = {y for i in stretches for y in near[i]}
+        if not any(2 * (min(last, y[1]) - max(first, y[0])) >= last - first for y in around):
             kept.append((t, coverage, first, last))
+            for i in stretches:
+                near[i].append((first, last))
     return sorted(kept, key=lambda x: x[2])
 
 
