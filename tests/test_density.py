@@ -11,7 +11,7 @@ from wayfold.operators.cells import neighbour_counts, with_search_limits
 from wayfold.operators.cluster import core_points, st_dbscan
 from wayfold.operators.components import connected_components
 from wayfold.operators.curves import curve, knee, nearest_quantiles
-from wayfold.operators import knn
+from wayfold.operators import cells, knn
 from wayfold.operators.knn import per_point, spatial_k_distances
 
 PLACES = [(37.5, 127.0), (0.0, 179.9999), (89.9995, 10.0), (-45.0, -179.9997)]
@@ -207,6 +207,24 @@ def test_lone_fixes_meet_few_places(spark):
     assert most[1] <= 3 * most[0] and most[1] < 1000
 
 
+def test_a_sparse_cell_beside_a_crowded_one_is_asked_in_parts(spark):
+    """Many points ask for a cell of two: its copies get no more than a part's points each, with the same counts."""
+    rnd = random.Random(8)
+    crowd = [(37 + rnd.uniform(0, 18) * METRE, 127.0, float(i % 50)) for i in range(400)]
+    points = [*crowd, (37 + 45 * METRE, 127.0, 3.0), (37 + 46 * METRE, 127.0, 4.0)]
+    df = with_search_limits(frame(spark, {1: points}), 40.0, 100.0, 500)
+    index = cells.CellIndex(cells.saved(df), 50, 10)
+    pairs = cells.saved(cells.both_ways(index.adjacent()).where("not all_near"))
+    probes, hot = index._probes(pairs)
+    assert hot is not None
+    asked = probes.groupBy("traj_id", "no_b", "salt").count()
+    assert probes.groupBy("traj_id", "no_b").count().agg({"count": "max"}).first()[0] > 4 * 50
+    assert asked.agg({"count": "max"}).first()[0] <= 2 * 50
+    want = [len(n) for n in neighbours(points, 40.0, 100.0)]
+    got = {r.ord: r.neighbours for r in neighbour_counts(df, 50, 10).collect()}
+    assert [got[i + 1] for i in range(len(points))] == want
+
+
 def _values(spark, *values):
     return curve(spark.createDataFrame([(1, float(v)) for v in values], "traj_id long, v double"), "v")
 

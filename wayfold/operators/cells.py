@@ -128,7 +128,7 @@ class CellIndex:
     """Points and their cells, saved, with crowded cells cut into parts."""
 
     def __init__(self, df: DataFrame, cell_rows: int = CELL_ROWS, leaf_rows: int = LEAF_ROWS) -> None:
-        self._leaf_rows = leaf_rows
+        self._leaf_rows, self._cell_rows = leaf_rows, cell_rows
         located = in_cells(df)
         self.cells = saved(cell_table(located))
         # At most one row per `cell_rows` points, so broadcasting it is safe.
@@ -221,16 +221,39 @@ class CellIndex:
             "traj_id", *ends, *boxes, limits.alias("limits"), all_near.alias("all_near")
         )
 
-    def _probes(self, pairs: DataFrame) -> DataFrame:
-        """Points `p` of each cell a that are near the box of cell b."""
+    def _probes(self, pairs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+        """Points `p` of each cell a that are near the box of cell b, and what splits those of one cell b.
+
+        A cell b that more than `cell_rows` points ask for, such as a sparse one beside a crowded one, is kept in
+        several copies, and the points are dealt to them by `salt`. Of the copies there is one for each `cell_rows`
+        points that ask.
+        """
+        asked = pairs.groupBy("traj_id", "no_b").agg(F.sum("rows_a").alias("_asked"))
+        copies = F.ceil(F.col("_asked") / F.lit(self._cell_rows)).cast("int")
+        # At most one row per `cell_rows` asking points.
+        hot = asked.where(F.col("_asked") > self._cell_rows).select("traj_id", "no_b", copies.alias("_copies"))
         slim = self.points.select("traj_id", "no", "ord", F.struct(*_POINT).alias("p"))
         left = self.points_of(slim, pairs.withColumnRenamed("no_a", "no")).where(_near_box("box_b"))
-        return left.select("traj_id", F.col("no").alias("no_a"), "no_b", "p", "limits")
+        left = left.select("traj_id", F.col("no").alias("no_a"), "no_b", "p", "limits")
+        if not hot.take(1):
+            return left.withColumn("salt", F.lit(0)), None
+        hot = saved(hot)
+        salt = F.pmod(F.xxhash64("p.ord"), F.coalesce("_copies", F.lit(1))).cast("int")
+        return left.join(hot, ["traj_id", "no_b"], "left").withColumn("salt", salt).drop("_copies"), hot
+
+    @staticmethod
+    def _copied(df: DataFrame, hot: DataFrame | None) -> DataFrame:
+        """Rows (traj_id, no_b, ...) once for each `salt` of their cell."""
+        if hot is None:
+            return df.withColumn("salt", F.lit(0))
+        wide = df.join(hot, ["traj_id", "no_b"], "left")
+        every = F.sequence(F.lit(0), F.coalesce("_copies", F.lit(1)) - 1)
+        return wide.withColumn("salt", F.explode(every)).drop("_copies")
 
     def near_pairs(self, pairs: DataFrame) -> DataFrame:
         """Neighbouring points `p` of cell a and `q` of cell b; cells b must be sparse."""
-        others = self.points.where(~F.col("dense"))
-        return self._tested(self._probes(pairs), others, ["no_b"])
+        probes, hot = self._probes(pairs)
+        return self._tested(probes, self.points.where(~F.col("dense")), ["no_b"], hot)
 
     def near_counts(self, pairs: DataFrame) -> DataFrame:
         """(traj_id, no_a, no_b, ord, n): neighbours of points of cell a in cell b, if any.
@@ -241,17 +264,16 @@ class CellIndex:
         boxes on the edge of its reach, down to boxes of `leaf_rows` points.
         """
         few = F.col("rows") <= self._leaf_rows
-        small = self._tested(
-            self._probes(pairs.where(F.col("rows_b") <= self._leaf_rows)), self.points.where(few), ["no_b"]
-        )
+        probes, hot = self._probes(pairs.where(F.col("rows_b") <= self._leaf_rows))
+        small = self._tested(probes, self.points.where(few), ["no_b"], hot)
         counts = small.groupBy(*_PROBE).agg(F.count(F.lit(1)).alias("n"))
         crowded = pairs.where(F.col("rows_b") > self._leaf_rows)
         if not crowded.take(1):
             return counts
-        parts = [counts, *self._halved(self._probes(crowded), self.points.where(~few))]
+        parts = [counts, *self._halved(*self._probes(crowded), self.points.where(~few))]
         return reduce(DataFrame.unionByName, parts).groupBy(*_PROBE).agg(F.sum("n").alias("n"))
 
-    def _halved(self, probes: DataFrame, points: DataFrame) -> list[DataFrame]:
+    def _halved(self, probes: DataFrame, hot: DataFrame | None, points: DataFrame) -> list[DataFrame]:
         counts = []
         open_boxes = probes.withColumn("ord", F.col("p.ord"))
         above: list[str] = []
@@ -265,7 +287,8 @@ class CellIndex:
                 ).alias("box"),
             )
             boxes = boxes.withColumns({f"above_{k}": F.shiftright(k, 1) for k in key})
-            found = open_boxes.join(boxes, ["traj_id", "no_b", *above]).where(_near_box("box"))
+            boxes = self._copied(boxes, hot)
+            found = open_boxes.join(boxes, ["traj_id", "no_b", "salt", *above]).where(_near_box("box"))
             one_place = reduce(
                 lambda x, y: x & y,
                 (F.col(f"box.min_{c}") == F.col(f"box.max_{c}") for c in ("t", "latitude", "longitude")),
@@ -275,25 +298,26 @@ class CellIndex:
                 found.withColumn("whole", F.when(one_place, at_place).otherwise(_inside("box")))
                 .where(F.col("whole") | ~one_place)
                 .withColumn("leaf", (F.col("rows") <= self._leaf_rows) | F.lit(level == _MAX_LEVEL))
-                .select("traj_id", "no_a", "no_b", "ord", "p", "limits", "rows", "whole", "leaf", *key)
+                .select("traj_id", "no_a", "no_b", "salt", "ord", "p", "limits", "rows", "whole", "leaf", *key)
             )
             counts.append(settled.where("whole").select(*_PROBE, F.col("rows").alias("n")))
             still = settled.where(~F.col("whole"))
-            tested = self._tested(still.where("leaf").drop("rows"), placed, ["no_b", *key])
+            tested = self._tested(still.where("leaf").drop("rows"), placed, ["no_b", *key], hot)
             counts.append(tested.groupBy(*_PROBE).agg(F.count(F.lit(1)).alias("n")))
             open_boxes = still.where(~F.col("leaf")).select(
-                "traj_id", "no_a", "no_b", "ord", "p", "limits", *(F.col(k).alias(f"above_{k}") for k in key)
+                "traj_id", "no_a", "no_b", "salt", "ord", "p", "limits", *(F.col(k).alias(f"above_{k}") for k in key)
             )
             above = [f"above_{k}" for k in key]
             if not open_boxes.take(1):
                 break
         return counts
 
-    def _tested(self, probes: DataFrame, points: DataFrame, keys: list[str]) -> DataFrame:
+    def _tested(self, probes: DataFrame, points: DataFrame, keys: list[str], hot: DataFrame | None) -> DataFrame:
         """Probes with the points `q` that pass the exact test."""
         others = points.withColumnRenamed("no", "no_b").select("traj_id", *keys, F.struct(*_POINT).alias("q"))
         near = _near("p", *(F.col(f"q.{c}") for c in ("latitude", "longitude", "t")))
-        return probes.drop("ord").join(others, ["traj_id", *keys]).where(near).withColumn("ord", F.col("p.ord"))
+        met = probes.drop("ord").join(self._copied(others, hot), ["traj_id", "salt", *keys])
+        return met.drop("salt").where(near).withColumn("ord", F.col("p.ord"))
 
 
 _POINT = ("ord", "latitude", "longitude", "t", "x", "y", "z")
