@@ -11,7 +11,7 @@ from wayfold.operators.cells import neighbour_counts, with_search_limits
 from wayfold.operators.cluster import core_points, st_dbscan
 from wayfold.operators.components import connected_components
 from wayfold.operators.curves import curve, knee, nearest_quantiles
-from wayfold.operators import cells, knn
+from wayfold.operators import cells, curves, knn
 from wayfold.operators.knn import per_point, spatial_k_distances
 
 PLACES = [(37.5, 127.0), (0.0, 179.9999), (89.9995, 10.0), (-45.0, -179.9997)]
@@ -235,6 +235,23 @@ def test_knee_edges(spark):
     assert knee(_values(spark, 9, 8, 7, 2, 1, 1, 1), block_rows=None).first().value == 2
 
 
+def test_quantiles_by_buckets(spark, monkeypatch):
+    """Heavy tails, copies, and values of any size, with slices of three values: the elements of a full sort."""
+    monkeypatch.setattr(curves, "SLICE_ROWS", 3)
+    rnd = random.Random(12)
+    values = {t: [round(rnd.choice([1e-9, 1, 1e6, 1e12]) * rnd.random() ** 6, rnd.choice([0, 3, 12])) for _ in range(n)]
+              for t, n in enumerate([1, 2, 7, 60, 400, 900])}
+    values[9] = [-5.0, -5.0, 3.0, 1e15, -1e15, 0.0] * 5
+    rows = [(t, v) for t, some in values.items() for v in some]
+    quantiles = {"a": 0.0, "b": 0.05, "c": 0.25, "d": 0.5, "e": 0.993, "f": 1.0}
+    frame_ = curve(spark.createDataFrame(rows, "traj_id long, v double"), "v")
+    got = {r.traj_id: r for r in nearest_quantiles(frame_, quantiles).collect()}
+    for t, some in values.items():
+        want = [sorted(some)[math.floor((len(some) - 1) * q + 0.5)] for q in quantiles.values()]
+        assert [got[t][n] for n in quantiles] == want
+    assert nearest_quantiles(frame_.where("false"), quantiles).count() == 0
+
+
 def test_nearest_quantile(spark):
     got = nearest_quantiles(_values(spark, *range(11)), {"q": 0.05, "m": 0.5}, None).first()
     assert (got.q, got.m) == (1, 5)

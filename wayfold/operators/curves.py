@@ -6,13 +6,17 @@ anything is sorted or shuffled by order.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timeops import whole_seconds
+from ..session import saved
 from .ordered import BLOCK_ROWS, home_rows, neighbouring_rows, ranked, running_sum, unfold
-from .validate import in_range
 from .segments import JUMP_RATE, MAX_JUMP_POINTS, jump_candidates
+from .validate import in_range
+
+# Different values that are sorted to find a quantile among them, and buckets of a round.
+SLICE_ROWS, BUCKETS = 10_000, 256
 
 
 def curve(df: DataFrame, value: str | Column, copies: Column | None = None) -> DataFrame:
@@ -68,13 +72,46 @@ def knee(df: DataFrame, name: str = "value", normalize: bool = True, block_rows:
 def nearest_quantiles(
     df: DataFrame, quantiles: dict[str, float], block_rows: int | None = BLOCK_ROWS
 ) -> DataFrame:
-    """The element at 0-based ascending index floor((n - 1) * q + 0.5), per name."""
-    placed = _with_last_index(df, F.col("value"), block_rows, _rows=("sum", F.col("copies")))
-    picks = []
-    for name, q in quantiles.items():
-        at = F.floor((F.col("_rows") - 1) * F.lit(q) + F.lit(0.5))
-        picks.append(F.min(F.when(F.col("_upto") > at, F.col("value"))).alias(name))
-    return placed.groupBy("traj_id").agg(*picks)
+    """The element at 0-based ascending index floor((n - 1) * q + 0.5), per name.
+
+    Values are not sorted as a whole. In rounds, those between the least and the largest that the element can be are
+    counted in buckets, and the bucket that holds its index is kept, until few values are left; these are sorted.
+    """
+    values = saved(df)
+    totals = values.groupBy("traj_id").agg(
+        F.sum("copies").alias("n"), F.count(F.lit(1)).alias("rows"), F.min("value").alias("low"), F.max("value").alias("high")
+    )
+    at = {name: F.floor((F.col("n") - 1) * F.lit(q) + F.lit(0.5)) for name, q in quantiles.items()}
+    wanted = F.explode(F.array(*(F.struct(F.lit(name).alias("name"), c.alias("at")) for name, c in at.items())))
+    before = F.lit(0).cast("long").alias("before")
+    slices = saved(totals.select("traj_id", wanted.alias("w"), "rows", "low", "high", before).select("*", "w.*").drop("w"))
+    one, value = ["traj_id", "name"], F.col("value")
+    many = (F.col("rows") > SLICE_ROWS) & (F.col("low") < F.col("high"))
+    inside = value.between(F.col("low"), F.col("high"))
+    while slices.where(many).take(1):
+        share = (value - F.col("low")) / (F.col("high") - F.col("low"))
+        bucket = F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1)).alias("bucket")
+        counted = (
+            values.join(slices.where(many).drop("rows"), "traj_id")
+            .where(inside)
+            .groupBy(*one, "at", "before", bucket)
+            .agg(
+                F.sum("copies").alias("_copies"),
+                F.count(F.lit(1)).alias("rows"),
+                F.min("value").alias("low"),
+                F.max("value").alias("high"),
+            )
+        )
+        upto = F.sum("_copies").over(Window.partitionBy(*one).orderBy("bucket"))
+        placed = counted.withColumn("_upto", F.col("before") + upto)
+        holds = (F.col("_upto") > F.col("at")) & (F.col("_upto") - F.col("_copies") <= F.col("at"))
+        found = placed.where(holds).withColumn("before", F.col("_upto") - F.col("_copies"))
+        slices = saved(slices.where(~many).unionByName(found.select(slices.columns)))
+    left = values.join(slices.drop("rows"), "traj_id").where(inside)
+    upto = F.sum("copies").over(Window.partitionBy(*one).orderBy("value"))
+    reached = F.col("before") + F.col("_upto") > F.col("at")
+    picks = (F.min(F.when((F.col("name") == name) & reached, value)).alias(name) for name in quantiles)
+    return left.withColumn("_upto", upto).groupBy("traj_id").agg(*picks)
 
 
 def jump_thresholds(gaps: DataFrame, block_rows: int | None = BLOCK_ROWS) -> DataFrame:
