@@ -164,6 +164,40 @@ def test_quality_rules_odd_inputs(odd, empty):
 def test_rules_are_ordered_by_rejections_per_cost(docs):
     order = [rejected / cost for _, cost, rejected in quality_rules.ordered_rules(docs)]
     assert order == sorted(order, reverse=True) and len(order) == len(quality_rules.RULES)
+    known = quality_rules.ordered_rules(docs, known=["n_words", "n_symbols", "word_chars"])
+    # Rules whose measures are all known cost nothing, so those that reject anything come first.
+    free = {"few words", "symbols"} & {rule.name for rule, _, rejected in known if rejected}
+    assert {rule.name for rule, _, _ in known[: len(free)]} == free
+
+
+def test_quality_cascade_equals_all_rules(spark):
+    """Every text is rejected iff a rule over finished measures rejects it, in whatever order the rules run."""
+    texts = ["a b c", "w " * 30, "# " * 30 + "word " * 5, " ".join(f"w{i}" for i in range(40)), None, ""]
+    texts += [" ".join(f"{i}{i}" for i in range(40)), "x" * 900 + " " + " ".join(f"w{i}" for i in range(30))]
+    for n, mark, end in ((4, "- ", ""), (6, "- ", ""), (6, " \u2022", ""), (6, "", "..."), (6, "", "\u2026 \r"), (4, "", "...")):
+        texts.append("\n".join(f"{mark}line{i} has some words w{i} v{i}{end}" for i in range(n)))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    names = list(quality_rules.MEASURES)
+    rows = {r.doc_id: r for r in quality_rules.measured(df).collect()}
+    values = {name: F.col(name) for name in names}
+    want = {
+        r[0]: any(r[1:])
+        for r in quality_rules.measured(df).select("doc_id", *(rule.rejects(values) for rule in quality_rules.RULES)).collect()
+    }
+    lazy = {r.doc_id: r.rejected_by for r in quality_rules.cascade(df).collect()}
+    reported = {r.doc_id: r for r in quality_rules.cascade(df, report=["n_words", "n_dup_lines"]).collect()}
+    assert {i: name is not None for i, name in lazy.items()} == want
+    assert all((r.rejected_by is not None) == want[i] and r.n_words == rows[i].n_words for i, r in reported.items())
+    assert lazy[6] == "words without letters" and lazy[3] is None
+    assert [lazy[i] for i in range(8, 14)] == [None, "bullet lines", "bullet lines", "lines that break off", "lines that break off", None]
+
+
+def test_quality_cascade_is_lazy(spark, docs):
+    """A measure is written once in the plan, inside the branch of the rule that needs it, without Python."""
+    rules = [quality_rules.RULES[0], quality_rules.RULES[1]]
+    found = docs.select(quality_rules.first_rejection(rules, {"text": F.col("text")}).alias("r"))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1 and plan.count("CASE WHEN") >= 2 and "Python" not in plan
 
 
 def test_toxicity_on_held_out_texts(spark, folder, docs):

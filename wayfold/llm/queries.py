@@ -70,19 +70,11 @@ def op5_html_extraction(spark, folder):
 
 def op6_quality_rules(spark, folder):
     docs = _table(spark, folder, "documents").select("doc_id", "text")
-    order = [rule for rule, _, _ in quality_rules.ordered_rules(docs)]
-    known = quality_rules.measured(docs).drop("text")
-    of = {name: F.col(name) for name in quality_rules.MEASURES}
-    base = [rule.rejects(of) for rule in quality_rules.BASE]
-    return known.select(
-        "doc_id",
-        "n_words",
-        "word_chars",
-        "n_symbols",
-        "n_dup_lines",
-        "n_repeat_words",
-        (base[0] | base[1]).alias("base_failed"),
-        quality_rules.first_rejection(order, of).isNull().alias("kept"),
+    measures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    judged = quality_rules.cascade(docs, report=measures)
+    base = [rule.rejects({x: F.col(x) for x in measures}) for rule in quality_rules.BASE]
+    return judged.select(
+        "doc_id", *measures, (base[0] | base[1]).alias("base_failed"), F.col("rejected_by").isNull().alias("kept")
     )
 
 
@@ -180,12 +172,17 @@ m AS (
     CAST(length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
     CAST(len(lines) AS BIGINT) AS n_lines,
     CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
-    CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words
+    CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words,
+    len(list_filter(w, lambda x: regexp_matches(x, '[^\x00-\x40\x5B-\x60\x7B-\x7F]'))) AS n_letter_words,
+    len(list_filter(lines, lambda x: regexp_matches(x, '\A[\x20\x09-\x0D]*[-*\x{2022}]'))) AS n_bullet_lines,
+    len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|\x{2026})[\x20\x09-\x0D]*\z'))) AS n_open_lines
   FROM d LEFT JOIN r USING (doc_id)),
 f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT (base_failed OR 100 * n_symbols > 15 * word_chars OR 100 * n_dup_lines > 30 * n_lines
-    OR 100 * word_chars > 2000 * n_words OR 100 * word_chars < 200 * n_words) AS kept
+    OR 100 * word_chars > 2000 * n_words OR 100 * word_chars < 200 * n_words
+    OR 100 * n_letter_words < 50 * n_words OR n_bullet_lines >= 5 AND 100 * n_bullet_lines > 90 * n_lines
+    OR n_open_lines >= 5 AND 100 * n_open_lines > 30 * n_lines) AS kept
 FROM f
 """
 
