@@ -213,7 +213,8 @@ def ordered_rules(
 
     The cost of a part or measure is shared by the rules that need it; measures in `known` cost nothing.
     """
-    sample = df.select(F.col(text).alias("t")).orderBy(F.rand(11)).limit(SAMPLE_TEXTS).cache()
+    share = min(1.0, SAMPLE_TEXTS / max(df.count(), 1))
+    sample = df.select(F.col(text).alias("t")).sample(share, seed=11).limit(SAMPLE_TEXTS).cache()
     try:
         n = max(sample.count(), 1)
 
@@ -242,7 +243,7 @@ def ordered_rules(
         shares = sample.select(rejects.alias("r")).select(*(F.sum(F.col("r")[i]) for i in range(len(rules)))).first()
     finally:
         sample.unpersist()
-    found = [(rule, sum(cost[x] / users[x] for x in needs[rule.name]) or 1e-9, (share or 0) / n) for rule, share in zip(rules, shares)]
+    found = [(rule, sum(cost[x] / users[x] for x in needs[rule.name]) or 1e-9, (rejected or 0) / n) for rule, rejected in zip(rules, shares)]
     return sorted(found, key=lambda x: -x[2] / x[1])
 
 
