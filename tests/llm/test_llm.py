@@ -232,6 +232,10 @@ def test_quality_grades_of_held_out_texts(spark, folder):
     out = ordinal_quality.graded(texts.select("doc_id", "text"), model).join(rating.where("doc_id % 4 = 0"), "doc_id")
     right = out.agg(F.avg(((F.col("grade") >= 1) == F.col("selected")).cast("double"))).first()[0]
     assert right > 0.97
+    rows = out.select("grade", F.round("expected_grade").alias("found")).collect()
+    for grade, least in ((0, 0.75), (1, 0.6), (2, 0.95)):
+        found = [r.found for r in rows if r.grade == grade]
+        assert sum(x == grade for x in found) > least * len(found)
 
 
 PAGE = """<!DOCTYPE html><html><head><title>T &amp; t</title><script>if (a < b) "</p>"</script></head><body>
