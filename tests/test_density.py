@@ -6,12 +6,12 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from points import METRE, frame, labels, metres, neighbours
+from points import BASE, METRE, frame, labels, metres, neighbours
 from wayfold.operators.cells import neighbour_counts, with_search_limits
 from wayfold.operators.cluster import core_points, st_dbscan
 from wayfold.operators.components import connected_components
 from wayfold.operators.curves import curve, knee, nearest_quantiles
-from wayfold.operators import cells, curves, knn
+from wayfold.operators import cells, cluster, curves, knn
 from wayfold.operators.knn import per_point, spatial_k_distances
 
 PLACES = [(37.5, 127.0), (0.0, 179.9999), (89.9995, 10.0), (-45.0, -179.9997)]
@@ -255,3 +255,39 @@ def test_quantiles_by_buckets(spark, monkeypatch):
 def test_nearest_quantile(spark):
     got = nearest_quantiles(_values(spark, *range(11)), {"q": 0.05, "m": 0.5}, None).first()
     assert (got.q, got.m) == (1, 5)
+
+
+@pytest.mark.parametrize("short_rows", [0, 60, 256])
+def test_short_trajectories_need_no_cells(spark, limited, sets, limits, monkeypatch, short_rows):
+    """Labels and counts are the same by cells, by pairs of rows, and by both; short trajectories alone build no cells."""
+    monkeypatch.setattr(cluster, "SHORT_ROWS", short_rows)
+    monkeypatch.setattr(cells, "SHORT_ROWS", short_rows)
+    some = [t for t in sets if t % 9 == 0 or t in (1001, 1002)]
+    if short_rows == 256:
+        monkeypatch.setattr(cluster, "_Density", None)
+        monkeypatch.setattr(cells, "CellIndex", None)
+    df = cells.saved(limited.where(F.col("traj_id").isin(some)))
+    got = {(r.traj_id, r.ord): r.cluster_id for r in st_dbscan(df, None).collect()}
+    counts = {(r.traj_id, r.ord): r.neighbours for r in neighbour_counts(df).collect()}
+    for t in some:
+        want = labels(sets[t], EPS_SPACE, EPS_TIME, limits[t])
+        assert [got[t, i + 1] for i in range(len(want))] == want
+        assert [counts[t, i + 1] for i in range(len(want))] == [len(n) for n in neighbours(sets[t], EPS_SPACE, EPS_TIME)]
+
+
+def test_rows_without_time_or_trajectory_are_as_in_cells(spark, monkeypatch):
+    rows = "traj_id long, ord long, timestamp timestamp, latitude double, longitude double"
+    points = [(1, i + 1, None if i < 3 else BASE, 37.0, 127.0) for i in range(5)] + [(None, 1, BASE, 37.0, 127.0)]
+    points += [(2, i + 1, BASE, 37.0, 127.0) for i in range(3)]
+    df = cells.saved(with_search_limits(spark.createDataFrame(points, rows), 50.0, 10.0, 2))
+    found = []
+    for short_rows in (256, 0):
+        monkeypatch.setattr(cluster, "SHORT_ROWS", short_rows)
+        found.append(sorted(st_dbscan(df, None).select("traj_id", "ord", "cluster_id").collect(), key=str))
+    assert found[0] == found[1] and len(found[0]) == len(points)
+
+
+def test_cells_are_not_broadcast(spark, limited):
+    """Cells and points grow with the input; files pack them, so that small files may hold much."""
+    plan = cells.CellIndex(limited.where("traj_id < 3")).adjacent()._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
