@@ -291,3 +291,21 @@ def test_cells_are_not_broadcast(spark, limited):
     """Cells and points grow with the input; files pack them, so that small files may hold much."""
     plan = cells.CellIndex(limited.where("traj_id < 3")).adjacent()._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_short_trajectories_need_no_grid(spark, monkeypatch):
+    """k-distances of short trajectories come from their places alone: poles, the far side, copies, fewer places than k."""
+    monkeypatch.setattr(knn, "_places", None)
+    rnd = random.Random(14)
+    sets = {t: [(rnd.uniform(-90, 90), rnd.uniform(-180, 180), 0.0) for _ in range(n)] for t, n in enumerate((1, 3, 5, 9, 60))}
+    sets[5] = [(90.0, 0.0, 0.0), (90.0, 120.0, 0.0), (-90.0, 5.0, 0.0), (0.0, 180.0, 0.0), (0.0, -180.0, 0.0), (0.0, 0.0, 0.0)]
+    sets[6] = [(1.0, 1.0, 0.0)] * 4 + [(1.0, 1.0 + i * 1e-7, 0.0) for i in range(1, 4)]
+    for k in (1, 3, 5):
+        df = frame(spark, sets).withColumn("k", F.lit(k))
+        got = {(r.traj_id, r.latitude, r.longitude): r for r in spatial_k_distances(df, 5, None).collect()}
+        for t, points in sets.items():
+            for p in points:
+                away = sorted(metres(p, q) for q in points)
+                want = None if len(away) <= k else pytest.approx(away[k], abs=1e-6)
+                assert got[t, p[0], p[1]].k_distance == want
+                assert got[t, p[0], p[1]].copies == points.count(p)
