@@ -44,3 +44,12 @@ def test_repeated_rows_and_clashing_names(spark):
     rows = out.collect()
     assert Counter((r.doc_id, r.text and r.text[-8:]) for r in rows) == Counter({(1, " clean "[-8:] and ("clean " * 30)[-8:]): 1, (2, " pad end"): 2, (4, None): 1})
     assert all(r[c] == c for r in rows for c in extra)
+
+
+def test_plans_do_not_spell_out_the_map(spark):
+    """Spark keeps the text of every plan in the driver's memory; the map is far larger than the rest of it."""
+    items = spark.createDataFrame([("a", " ".join(f"w{i}" for i in range(12))), ("b", "one two")], "item_id string, text string")
+    docs = spark.createDataFrame([(1, "w0 one two " + "w3 " * 9)], "doc_id long, text string")
+    found = decontaminate.hits(docs, items, 10)
+    assert len(found._jdf.queryExecution().executedPlan().toString()) < decontaminate.SLOTS[0] / 4
+    assert found.first()["items"] == ["b"]

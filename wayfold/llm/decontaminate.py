@@ -122,18 +122,22 @@ def _slot(h: Column, probe: int, slots: int) -> Column:
 
 def _candidates(w: Column, sizes: list[int], bitmap: bytes) -> Column:
     """n_words, and the places and windows that pass the map."""
-    found = F.array().cast("array<struct<at:int,window:string>>")
-    for size in sizes:
-        found = F.concat(found, _passing(w, size, bitmap))
+    none = F.array().cast("array<struct<at:int,window:string>>")
+
+    def passing(slots: Column) -> Column:
+        return reduce(F.concat, (_passing(w, size, slots, len(bitmap)) for size in sizes), none)
+
+    # The map is in the plan once, as each place that names it adds twice its size to all texts of the plan.
+    found = _with(F.lit(bitmap), passing) if sizes else none
     return F.struct(F.size(w).cast("long").alias("n_words"), found.alias("found"))
 
 
-def _passing(w: Column, size: int, bitmap: bytes) -> Column:
+def _passing(w: Column, size: int, slots: Column, n_slots: int) -> Column:
     places = F.when(F.size(w) >= size, F.sequence(F.lit(1), F.size(w) - size + 1)).otherwise(F.array().cast("array<int>"))
-    slots, taken = F.lit(bitmap), F.lit(b"\x01")
+    taken = F.lit(b"\x01")
 
     def all_taken(h: Column) -> Column:
-        probes = [F.substring(slots, _slot(h, j, len(bitmap)), F.lit(1)) == taken for j in range(PROBES)]
+        probes = [F.substring(slots, _slot(h, j, n_slots), F.lit(1)) == taken for j in range(PROBES)]
         return reduce(lambda a, b: a & b, probes)
 
     # The hash is kept beside its place, so that it is taken once.
