@@ -36,9 +36,12 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language_id.fit(docs.where(~held_out).select("doc_id", "text", "lang"))
     if model is None:
         return language_id.with_letters(docs)
-    found = language_id.predicted(_beside(docs), model).where(F.col("lang_pred") != language_id.UNKNOWN)
+    # Texts go to Python once: the other columns are beside them without the text.
+    others = [c for c in docs.columns if c != "text"]
+    found = language_id.predicted(docs.select(F.struct(*others).alias("row"), "text"), model)
     filled = F.coalesce(F.col("row.lang"), F.col("lang_pred"))
-    return found.withColumn("row", F.col("row").withField("lang", filled)).select("row.*")
+    found = found.where(F.col("lang_pred") != language_id.UNKNOWN).withColumn("row", F.col("row").withField("lang", filled))
+    return found.select(*(F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

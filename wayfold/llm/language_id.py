@@ -16,14 +16,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .words import RUN_BYTES
-
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 8
 # Labelled texts to train on, shared out evenly over languages, and windows of each.
 SAMPLE_TEXTS = 2_400
 WINDOWS = 4
+# Windows are scored when those held are more than so many bytes.
+HELD_BYTES = 1 << 21
 UNKNOWN = "und"
 
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
@@ -204,7 +204,7 @@ def predicted(documents: DataFrame, model: Model | None) -> DataFrame:
                 rows.append(i)
                 parts.append(_cut(data))
                 held += len(data)
-                if held > RUN_BYTES:
+                if held > HELD_BYTES:
                     score()
                     rows, parts, held = [], [], 0
             if rows:

@@ -34,14 +34,14 @@ def pieces(documents: DataFrame, path: str, capacity: int = CAPACITY) -> DataFra
     """
 
     def of(batches):
-        ids_of = tokenizer(path).ids
+        own = tokenizer(path)
         block = TaskContext.get().partitionId()
         seen = [0] * (capacity + 1)
         end = END.to_bytes(4, "little")
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                ids = ids_of(text.as_py()) + end
+                ids = own.ids(text.as_py()) + end
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     length = len(part) // 4
@@ -51,6 +51,7 @@ def pieces(documents: DataFrame, path: str, capacity: int = CAPACITY) -> DataFra
                 kinds = [pa.int64(), pa.int32(), *[pa.int64()] * 5]
                 names = ["doc_id", "piece", "start", "length", "ids_crc32", "block", "rank"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
+        own.rest()
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, block long, rank long"
     return documents.select("doc_id", "text").mapInArrow(of, schema)

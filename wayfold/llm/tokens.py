@@ -11,6 +11,8 @@ from array import array
 
 # Words kept per worker; the table is emptied when it is full.
 WORDS = 600_000
+# A worker keeps a table of up to so many words for its next task, which may be of another kind.
+RESTING_WORDS = 100_000
 
 
 def default_path() -> str:
@@ -76,6 +78,12 @@ class WordTokenizer:
                 known[w] = self._word(w)
         return b"".join([known[w] for w in words])
 
+    def rest(self) -> None:
+        """At the end of a task: a large table is emptied, so that an idle worker does not hold it."""
+        if len(self.words) > RESTING_WORDS:
+            self.words.clear()
+            self.parts.clear()
+
 
 _tokenizers: dict[str, WordTokenizer] = {}
 

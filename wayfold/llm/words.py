@@ -8,8 +8,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-# Texts are worked on in runs of about so many bytes; a longer text is a run of its own.
-RUN_BYTES = 1 << 21
+# Texts are worked on in runs of about so many bytes; a longer text is a run of its own. Arrays of numbers
+# take some 30 bytes for each byte of a run, in every worker at once.
+RUN_BYTES = 1 << 19
 
 _U = np.uint64
 _MULTIPLIER = _U(0x9E3779B97F4A7C15)
@@ -59,12 +60,18 @@ class Run:
         """64-bit hashes of the words, or of their first `longest` bytes, with A-Z lowered."""
         n = len(self.data)
         ends = self.ends if longest is None else np.minimum(self.ends, self.starts + longest)
-        power = np.cumprod(np.full(n + 1, _MULTIPLIER))
+        power = np.full(n + 1, _MULTIPLIER)
+        np.cumprod(power, out=power)
         upto = np.zeros(n + 1, np.uint64)
-        np.cumsum(_VALUES[self.data] * power[:n], out=upto[1:])
+        upto[1:] = _VALUES[self.data]
+        upto[1:] *= power[:n]
+        np.cumsum(upto, out=upto)
+        found = upto[ends] - upto[self.starts]
         # power[i] is the multiplier to the power i + 1: divide it out.
-        back = np.cumprod(np.full(n + 1, _BACK))
-        return mix((upto[ends] - upto[self.starts]) * back[self.starts] + (ends - self.starts).astype(np.uint64))
+        back = power
+        back.fill(_BACK)
+        np.cumprod(back, out=back)
+        return mix(found * back[self.starts] + (ends - self.starts).astype(np.uint64))
 
 
 def runs(column: pa.Array, inside: np.ndarray = NOT_SPACE, run_bytes: int = RUN_BYTES) -> Iterator[Run]:
